@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["corpus_queries"]
+MODULES = ["corpus_queries", "packing_queries", "evaluation_queries", "log_queries", "run_queries"]
 
 
 def _collect(name: str) -> dict:
