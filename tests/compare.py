@@ -60,7 +60,7 @@ if __name__ == "__main__":
     folder = sys.argv[1]
     only = sys.argv[2:]
     spark = build_session(**{"spark.master": "local[8]", "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"})
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
     con = duck(folder)
     queries, oracle = entry.queries(), entry.oracle_sql()
     print("without sql:", sorted(set(queries) - set(oracle)), "without query:", sorted(set(oracle) - set(queries)))
@@ -74,5 +74,5 @@ if __name__ == "__main__":
             else:
                 bad = f"rows only: {len(queries[name](spark, folder).collect())}"
         except Exception as exc:
-            bad = "ERROR " + str(exc)[:700]
+            bad = "ERROR " + str(exc)[:500]
         print(f"{name:28s} {time.time() - start:6.2f}s {'ok' if bad is None else bad}", flush=True)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -37,25 +38,35 @@ class Naming:
         return rf"\A([a-z0-9{sep}]+){sep}{RUN_WORD}(\d+)\z"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, however often the body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def or_else(text: Column, default: str) -> Column:
+    """The default in place of an empty text."""
+    return F.regexp_replace(text, r"\A\z", default)
+
+
 def truncate(value: Column, max_length: int | Column) -> Column:
     """Longer values keep `max_length - 5` characters and four hex digits of their SHA-1."""
     limit = F.lit(max_length) if isinstance(max_length, int) else max_length
-    digest = F.substring(F.sha1(value), 1, 4)
-    head = F.regexp_replace(F.left(value, F.greatest(F.lit(1), limit - 5)), r"-+\z", "")
-    short = F.concat(F.coalesce(F.nullif(head, F.lit("")), digest), F.lit("-"), digest)
-    return F.when(F.length(value) <= limit, value).otherwise(short)
+
+    def short(v: Column) -> Column:
+        digest = F.substring(F.sha1(v), 1, 4)
+        head = F.regexp_replace(F.left(v, F.greatest(F.lit(1), limit - 5)), r"-+\z", "")
+        return F.when(head == "", F.concat(digest, F.lit("-"), digest)).otherwise(F.concat(head, F.lit("-"), digest))
+
+    return let(value, lambda v: F.when(F.length(v) <= limit, v).otherwise(short(v)))
 
 
 def slug(value: Column, fallback: str, naming: Naming = Naming(), allow_empty: bool = False) -> Column:
     """Lower-case ASCII letters and digits parted by the separator; other scripts vanish."""
     sep = re.escape(naming.separator)
     ascii_only = strip(F.regexp_replace(F.coalesce(value, F.lit("")), r"[^\x00-\x7F]", ""))
-    filled = F.lower(F.coalesce(F.nullif(ascii_only, F.lit("")), F.lit(fallback)))
-    parted = F.regexp_replace(filled, "[^a-z0-9]+", sep)
+    parted = F.regexp_replace(F.lower(or_else(ascii_only, fallback)), "[^a-z0-9]+", sep)
     trimmed = F.regexp_replace(parted, rf"\A{sep}+|{sep}+\z", "")
-    if not allow_empty:
-        trimmed = F.coalesce(F.nullif(trimmed, F.lit("")), F.lit(fallback))
-    return truncate(trimmed, naming.max_segment_length)
+    return truncate(trimmed if allow_empty else or_else(trimmed, fallback), naming.max_segment_length)
 
 
 def last_part(name: Column, default: str) -> Column:
@@ -90,12 +101,18 @@ def join_parts(separator: str, *parts: Column) -> Column:
     return F.concat_ws(separator, *[F.nullif(part, F.lit("")) for part in parts])
 
 
-def run_name(full_prefix: Column, index: Column, naming: Naming) -> tuple[Column, Column]:
-    """`(prefix, name)`: the prefix is cut so that the name stays within its length."""
-    suffix = F.concat(F.lit(f"{naming.separator}{RUN_WORD}"), index.cast("string"))
-    prefix = truncate(full_prefix, F.lit(naming.max_name_length) - F.length(suffix))
-    prefix = F.coalesce(F.nullif(prefix, F.lit("")), F.lit(RUN_WORD))
-    return prefix, F.concat(prefix, suffix)
+def run_suffix(index: Column, naming: Naming) -> Column:
+    return F.concat(F.lit(f"{naming.separator}{RUN_WORD}"), index.cast("string"))
+
+
+def run_prefix(full_prefix: Column, index: Column, naming: Naming) -> Column:
+    """The prefix, cut so that the name with its index stays within the longest length."""
+    room = F.lit(naming.max_name_length) - F.length(run_suffix(index, naming))
+    return or_else(truncate(full_prefix, room), RUN_WORD)
+
+
+def run_name(full_prefix: Column, index: Column, naming: Naming) -> Column:
+    return F.concat(run_prefix(full_prefix, index, naming), run_suffix(index, naming))
 
 
 def artifact_path(path: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.naming import (
@@ -10,10 +10,12 @@ from ..functions.naming import (
     join_parts,
     last_part,
     legacy_name,
-    run_name,
+    run_prefix,
+    run_suffix,
     size_tag,
     slug,
 )
+from ..session import stored
 
 # Indices up to here are searched first; prefixes that used them all are searched again without a limit.
 FIRST_INDICES = 10_000
@@ -68,14 +70,12 @@ def used_indices(scopes: DataFrame, existing: DataFrame) -> DataFrame:
     scope_lengths = scopes.agg(F.collect_set(F.length("scope_prefix"))).scalar()
     run_lengths = runs.agg(F.collect_set(F.length("prefix"))).scalar()
 
-    def leading(text: str, lengths) -> F.Column:
-        fitting = F.filter(lengths, lambda n: n <= F.length(text))
-        return F.explode(F.transform(fitting, lambda n: F.left(F.col(text), n)))
+    def leading(rows: DataFrame, text: str, lengths: Column, name: str) -> DataFrame:
+        fitting = F.array_intersect(lengths, F.sequence(F.lit(0), F.length(text)))
+        return rows.withColumn("_n", F.explode(fitting)).withColumn(name, F.left(F.col(text), F.col("_n")))
 
-    longer_runs = runs.select(leading("prefix", scope_lengths).alias("scope_prefix"), "index").distinct()
-    shorter_runs = scopes.select("scope_prefix", leading("scope_prefix", run_lengths).alias("prefix")).join(
-        runs, "prefix"
-    )
+    longer_runs = leading(runs, "prefix", scope_lengths, "scope_prefix").select("scope_prefix", "index").distinct()
+    shorter_runs = leading(scopes, "scope_prefix", run_lengths, "prefix").join(runs, "prefix")
     return (
         longer_runs.join(scopes.select("scope_prefix"), "scope_prefix", "left_semi")
         .unionByName(shorter_runs.select("scope_prefix", "index"))
@@ -84,17 +84,25 @@ def used_indices(scopes: DataFrame, existing: DataFrame) -> DataFrame:
 
 
 def next_index(requests: DataFrame, existing: DataFrame) -> DataFrame:
-    """`scope_prefix, index`: the smallest free index of every scope asked for."""
-    scopes = requests.select("scope_prefix").distinct()
-    starts = scopes.withColumn("start", F.lit(1).cast("long"))
-    near = smallest_free(
-        starts, used_indices(scopes, existing.where(F.col("index") <= FIRST_INDICES)), "scope_prefix"
-    )
+    """`scope_prefix, index`: the smallest free index of every scope asked for.
+
+    Steps are stored, since each is read several times by the next.
+    """
+    scopes = stored(requests.select("scope_prefix").distinct(), "scopes")
+    runs = stored(existing.select("prefix", "index").distinct(), "runs")
+    near = stored(_first_free(scopes, runs.where(F.col("index") <= FIRST_INDICES)), "free")
     full = near.where(F.col("index") > FIRST_INDICES).select("scope_prefix")
-    far = smallest_free(full.withColumn("start", F.lit(1).cast("long")), used_indices(full, existing), "scope_prefix")
+    if full.isEmpty():
+        return near
+    far = _first_free(stored(full, "full-scopes"), runs)
     return near.where(F.col("index") <= FIRST_INDICES).unionByName(far)
 
 
+def _first_free(scopes: DataFrame, runs: DataFrame) -> DataFrame:
+    used = stored(used_indices(scopes, runs), "used")
+    return smallest_free(scopes.withColumn("start", F.lit(1).cast("long")), used, "scope_prefix")
+
+
 def name_runs(requests: DataFrame, taken: DataFrame, naming: Naming = Naming()) -> DataFrame:
     """Name every request: `index`, `prefix`, `name`, and `error` where there is no valid one.
 
@@ -107,14 +115,14 @@ def name_runs(requests: DataFrame, taken: DataFrame, naming: Naming = Naming())
     for column, kind in (("explicit_name", "string"), ("forced_index", "long"), ("use_legacy", "boolean")):
         if column not in requests.columns:
             requests = requests.withColumn(column, F.lit(None).cast(kind))
-    taken = taken.select("name").distinct()
-    existing = parse_names(taken, naming)
+    taken = stored(taken.select("name").distinct(), "taken")
+    existing = stored(parse_names(taken, naming), "existing")
     asked = with_components(requests, naming)
     explicit = F.trim(F.col("explicit_name"))
     legacy = F.coalesce(F.col("use_legacy"), F.lit(False))
     named = F.coalesce(explicit, F.lit("")) != ""
     mode = F.when(legacy, "legacy").when(named, "explicit").when(F.col("forced_index").isNotNull(), "forced")
-    asked = asked.withColumn("mode", F.coalesce(mode, F.lit("auto")))
+    asked = stored(asked.withColumn("mode", F.coalesce(mode, F.lit("auto"))), "asked")
 
     given = asked.where(F.col("mode").isin("legacy", "explicit"))
     is_legacy = F.col("mode") == "legacy"
@@ -131,19 +139,15 @@ def name_runs(requests: DataFrame, taken: DataFrame, naming: Naming = Naming())
     )
 
     auto = asked.where(F.col("mode") == "auto")
-    first = auto.join(next_index(auto, existing), "scope_prefix")
+    first = stored(auto.join(next_index(auto, existing), "scope_prefix"), "first")
     bumped = _past_collisions(first.select("full_prefix", F.col("index").alias("start")).distinct(), existing, naming)
     auto = first.withColumnRenamed("index", "start").join(bumped, ["full_prefix", "start"]).drop("start")
-    prefix, name = run_name(F.col("full_prefix"), F.col("index"), naming)
-    auto = auto.withColumn("prefix", prefix).withColumn("name", name).withColumn("error", F.lit(None).cast("string"))
+    auto = _with_name(auto, naming).withColumn("error", F.lit(None).cast("string"))
 
     forced = asked.where(F.col("mode") == "forced").withColumn("index", F.col("forced_index"))
     used = used_indices(forced.select("scope_prefix").distinct(), existing).withColumn("_used", F.lit(True))
-    prefix, name = run_name(F.col("full_prefix"), F.col("index"), naming)
     forced = (
-        forced.join(used, ["scope_prefix", "index"], "left")
-        .withColumn("prefix", prefix)
-        .withColumn("name", name)
+        _with_name(forced.join(used, ["scope_prefix", "index"], "left"), naming)
         .join(taken.withColumn("_exists", F.lit(True)), "name", "left")
         .withColumn(
             "error",
@@ -158,6 +162,11 @@ def name_runs(requests: DataFrame, taken: DataFrame, naming: Naming = Naming())
     )
 
 
+def _with_name(rows: DataFrame, naming: Naming) -> DataFrame:
+    prefix = run_prefix(F.col("full_prefix"), F.col("index"), naming)
+    return rows.withColumn("prefix", prefix).withColumn("name", F.concat("prefix", run_suffix(F.col("index"), naming)))
+
+
 def _past_collisions(starts: DataFrame, existing: DataFrame, naming: Naming) -> DataFrame:
     """`full_prefix, start, index`: from `start`, the first index whose composed name is free."""
     keyed = starts.withColumn("_key", F.struct("full_prefix", "start"))
@@ -165,12 +174,13 @@ def _past_collisions(starts: DataFrame, existing: DataFrame, naming: Naming) ->
     spelled = keyed.select("_key", "full_prefix", "start", digits)
     # The prefix depends on the index only through its number of digits.
     sample = F.expr("cast(pow(10, digits - 1) as bigint)")
-    spelled = spelled.withColumn("prefix", run_name(F.col("full_prefix"), sample, naming)[0])
+    spelled = spelled.withColumn("prefix", run_prefix(F.col("full_prefix"), sample, naming))
     plain = existing.where(~F.regexp_extract("name", naming.pattern, 2).rlike(r"\A0\d"))
     hits = spelled.join(
         plain.select("prefix", "index", F.length(F.col("index").cast("string")).alias("digits")), ["prefix", "digits"]
     ).where(F.col("index") >= F.col("start"))
-    free = smallest_free(keyed.select("_key", "start"), hits.select("_key", "index"), "_key")
+    hits = stored(hits.select("_key", "index"), "hits")
+    free = smallest_free(keyed.select("_key", "start"), hits, "_key")
     return free.select("_key.full_prefix", "_key.start", "index")
 
 
