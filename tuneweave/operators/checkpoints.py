@@ -5,7 +5,7 @@ Input rows are files: `dir, file`, and `mtime` where it matters.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.naming import artifact_path, base_name, parent_path, resume_candidates
@@ -40,23 +40,23 @@ def locate_checkpoints(files: DataFrame) -> DataFrame:
     the highest N, else itself when it holds the trainer state.
     """
     dirs = directories(files)
-    step = F.coalesce(F.element_at(F.split(base_name(F.col("dir")), "-"), -1).try_cast("long"), F.lit(-1))
-    valid = dirs.where("is_checkpoint")
-    options = (
-        valid.select(F.col("dir").alias("target"), F.lit(0).alias("choice"), F.lit(0).cast("long").alias("step"), "dir")
-        .unionByName(
-            valid.where(base_name(F.col("dir")).startswith("checkpoint-")).select(
-                parent_path(F.col("dir")).alias("target"), F.lit(1).alias("choice"), step.alias("step"), "dir"
-            )
-        )
-        .unionByName(
-            dirs.where("has_state").select(
-                F.col("dir").alias("target"), F.lit(2).alias("choice"), F.lit(0).cast("long").alias("step"), "dir"
-            )
+    name, ok = base_name(F.col("dir")), F.col("is_checkpoint")
+    step = F.coalesce(F.element_at(F.split(name, "-"), -1).try_cast("long"), F.lit(-1))
+
+    def option(allowed: Column, target: Column, choice: int, step: Column) -> Column:
+        return F.when(allowed, F.struct(target.alias("target"), F.lit(choice).alias("choice"), step.alias("step")))
+
+    zero = F.lit(0).cast("long")
+    options = F.array_compact(
+        F.array(
+            option(ok, F.col("dir"), 0, zero),
+            option(ok & name.startswith("checkpoint-"), parent_path(F.col("dir")), 1, step),
+            option(F.col("has_state"), F.col("dir"), 2, zero),
         )
     )
     best = F.max_by("dir", F.struct(-F.col("choice"), "step", "dir"))
-    return options.groupBy("target").agg(best.alias("checkpoint"))
+    listed = dirs.select("dir", F.inline(options))
+    return listed.groupBy("target").agg(best.alias("checkpoint"))
 
 
 def latest_adapter(adapters: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -74,7 +74,7 @@ def resolve_resume(requests: DataFrame, files: DataFrame, cwd: str = "/app") ->
         "_tried", resume_candidates(F.col("requested"), F.col("default_path"), cwd)
     )
     candidates = listed.select("request_id", F.posexplode("_tried").alias("rank", "target"))
-    plain = files.select(F.concat_ws("/", "dir", "file").alias("target")).distinct()
+    plain = files.select(F.concat_ws("/", "dir", "file").alias("target"))
     located = locate_checkpoints(files)
     as_file = candidates.join(plain, "target", "left_semi").withColumn("checkpoint", F.col("target"))
     as_dir = candidates.join(located, "target")

@@ -20,11 +20,15 @@ WEIGHT_SCALE = 1000
 RARITY = 100_000
 
 
-def trigrams(text: Column) -> Column:
-    """All overlapping trigrams of the letters, words parted by `_`. One pass over the text."""
-    words = F.regexp_replace(F.lower(text), r"[^\p{L}]+|[\x{10000}-\x{10FFFF}]", "_")
-    padded = F.concat(F.lit("_"), words, F.lit("_"))
-    return F.regexp_extract_all(padded, F.lit("(?=(...))"), F.lit(1))
+def words(text: Column) -> Column:
+    """The letters of a text, lower-cased, with a `_` before, between and after words."""
+    letters = F.regexp_replace(F.lower(text), r"[^\p{L}]+|[\x{10000}-\x{10FFFF}]", "_")
+    return F.concat(F.lit("_"), letters, F.lit("_"))
+
+
+def trigrams(padded: Column) -> Column:
+    """All trigrams inside words and at their ends. One pass over the text."""
+    return F.regexp_extract_all(padded, F.lit("(?=(.[^_].))"), F.lit(1))
 
 
 def language_profile(
@@ -32,10 +36,15 @@ def language_profile(
 ) -> DataFrame:
     """One row per trigram with a weight column per language.
 
-    At most `len(languages) * top` rows, whatever the corpus.
+    At most `len(languages) * top` rows, whatever the corpus. Words are counted
+    first, so trigrams are cut from distinct words only.
     """
-    grams = corpus.where(F.col(lang).isin(languages)).select(lang, F.explode(trigrams(F.col(text))).alias("gram"))
-    counts = grams.groupBy(lang, "gram").agg(F.count(F.lit(1)).alias("n"))
+    labelled = corpus.where(F.col(lang).isin(languages))
+    spelled = labelled.select(lang, F.explode(F.split(words(F.col(text)), "_")).alias("word"))
+    counted = spelled.where(F.col("word") != "").groupBy(lang, "word").agg(F.count(F.lit(1)).alias("n"))
+    padded = F.concat(F.lit("_"), F.col("word"), F.lit("_"))
+    grams = counted.select(lang, "n", F.explode(trigrams(padded)).alias("gram"))
+    counts = grams.groupBy(lang, "gram").agg(F.sum("n").alias("n"))
     totals = counts.groupBy(lang).agg(F.sum("n").alias("total"))
     rank = F.row_number().over(W.partitionBy(lang).orderBy(F.desc("n"), "gram"))
     ranked = counts.withColumn("_rank", rank).where(F.col("_rank") <= top)
@@ -50,7 +59,7 @@ def detect_language(
     df: DataFrame, profile: DataFrame, languages: list[str], keys: list[str], text: str = "text"
 ) -> DataFrame:
     """`keys, language`; ties go to the first code in order, texts without a hit are `unknown`."""
-    grams = df.select(*keys, F.explode_outer(trigrams(F.col(text))).alias("gram"))
+    grams = df.select(*keys, F.explode_outer(trigrams(words(F.col(text)))).alias("gram"))
     scored = grams.join(F.broadcast(profile), "gram", "left")
     sums = scored.groupBy(*keys).agg(*[F.sum(f"w_{code}").alias(f"w_{code}") for code in languages])
     best = F.greatest(*[F.coalesce(F.col(f"w_{code}"), F.lit(0)) for code in languages])

@@ -12,7 +12,7 @@ from ..operators import sampling
 from ..params import PrepareParams
 from ..session import scratch_path
 from ..sources import calibration, jsonl, sinks
-from ..sources.tables import filter_language, read_instructions, table
+from ..sources.tables import filter_language, read_instructions, spread, table
 from ..streaming import jobs
 from .prepare import prepare_chat, prepare_instructions, prepare_rows, preprocess_summary
 
@@ -36,7 +36,7 @@ MAPPING = {
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents")
+    return spread(table(spark, folder, "documents"), "doc_id")
 
 
 def turns(spark: SparkSession, folder: str) -> DataFrame:

@@ -112,7 +112,7 @@ QUERIES = {
 def sql_grams(text: str) -> str:
     words = rf"'_' || regexp_replace(lower({text}), '[^\p{{L}}]+', '_', 'g') || '_'"
     parts = [f"regexp_extract_all(({words})[{i}:], '...')" for i in (1, 2, 3)]
-    return f"list_concat(list_concat({parts[0]}, {parts[1]}), {parts[2]})"
+    return f"list_filter(list_concat(list_concat({parts[0]}, {parts[1]}), {parts[2]}), lambda g: g[2] <> '_')"
 
 
 def sql_detect(rows: str, keys: str, text: str) -> str:

@@ -9,7 +9,7 @@ from ..functions.text import clean_log_text
 from ..operators import logs, metrics
 from ..session import scratch_path
 from ..sources import sinks
-from ..sources.tables import table
+from ..sources.tables import spread, table
 from ..streaming import jobs
 
 TAIL_LINES = 20
@@ -17,7 +17,7 @@ TAIL_CHARS = 1000
 
 
 def events(spark, folder) -> DataFrame:
-    return table(spark, folder, "events")
+    return spread(table(spark, folder, "events"), "event_id")
 
 
 def log_lines(spark, folder) -> DataFrame:

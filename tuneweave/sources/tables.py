@@ -15,6 +15,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores on a table with fewer file splits than cores; larger ones stay as they are read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_instructions(source: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     """Map a corpus to `id, instruction, input, output, lang` by SQL expressions; columns left out are null."""
     unknown = set(mapping) - set(INSTRUCTION_COLUMNS)
