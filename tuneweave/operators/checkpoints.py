@@ -70,10 +70,9 @@ def resolve_resume(requests: DataFrame, files: DataFrame, cwd: str = "/app") ->
 
     The first candidate path that is a file or resolves to a checkpoint wins.
     """
-    listed = requests.withColumn(
-        "_tried", resume_candidates(F.col("requested"), F.col("default_path"), cwd)
-    )
-    candidates = listed.select("request_id", F.posexplode("_tried").alias("rank", "target"))
+    tried = resume_candidates(F.col("requested"), F.col("default_path"), cwd)
+    # The outer form keeps the optimizer from repeating the path expression in a filter of its own.
+    candidates = requests.select("request_id", F.posexplode_outer(tried).alias("rank", "target"))
     plain = files.select(F.concat_ws("/", "dir", "file").alias("target"))
     located = locate_checkpoints(files)
     as_file = candidates.join(plain, "target", "left_semi").withColumn("checkpoint", F.col("target"))
@@ -82,11 +81,11 @@ def resolve_resume(requests: DataFrame, files: DataFrame, cwd: str = "/app") ->
         as_file.unionByName(as_dir).groupBy("request_id").agg(F.min_by("checkpoint", "rank").alias("checkpoint"))
     )
     status = (
-        F.when(F.col("_tried").isNull(), "not_requested")
+        F.when(F.coalesce(F.col("requested"), F.lit("")).isin("", "null"), "not_requested")
         .when(F.col("checkpoint").isNull(), "not_found")
         .otherwise("resolved")
     )
-    return listed.join(found, "request_id", "left").select("request_id", "requested", "checkpoint", status.alias("status"))
+    return requests.join(found, "request_id", "left").select("request_id", "requested", "checkpoint", status.alias("status"))
 
 
 def served_artifact(runs: DataFrame, directories_there: DataFrame, suffix: str = "awq") -> DataFrame:
