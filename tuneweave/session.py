@@ -26,20 +26,28 @@ def build_session(app_name: str = "tuneweave", **overrides: str) -> SparkSession
     return builder.getOrCreate()
 
 
+_local_roots: dict[str, str] = {}
+
+
+def configured_root(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder named by `spark.checkpoint.dir`.
 
     A local session without the setting gets a folder of its own; a cluster
     without it is an error, since a folder on one machine is not shared.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = configured_root(spark)
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="tuneweave-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _local_roots:
+        _local_roots[app] = tempfile.mkdtemp(prefix="tuneweave-")
+    return _local_roots[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
