@@ -68,6 +68,9 @@ def test_packing(spark, parts):
     want = {c: stream[c * block : (c + 1) * block] for c in range(len(stream) // block)}
     got = packing.pack_blocks(docs(spark, parts), block, "doc_id", 3).collect()
     assert {r.chunk_id: r.tokens for r in got} == want
+    counted = docs(spark, parts).withColumn("n", F.size(F.split("text", " ")) - (F.col("text") == "").cast("int") - F.col("text").endswith(" ").cast("int"))
+    again = packing.pack_blocks(counted, block, "doc_id", 3, length="n").collect()
+    assert {r.chunk_id: r.tokens for r in again} == want
     stats = packing.pack_stats(docs(spark, parts), block, "doc_id", seed=3).first()
     assert (stats.n_docs, stats.n_tokens, stats.n_blocks) == (201, len(stream), len(want))
     assert stats.dropped_tokens == len(stream) % block

@@ -56,10 +56,12 @@ def test_strict_records(spark):
 
 def test_strict_load_names_file_and_line(spark, tmp_path):
     (tmp_path / "train.jsonl").write_text('{"text":"a"}\n\n{"text":"b"}\n')
-    assert [r.line_no for r in jsonl.load_strict(spark, str(tmp_path)).orderBy("line_no").collect()] == [1, 3]
+    assert {r.text for r in jsonl.load_strict(spark, str(tmp_path)).collect()} == {"a", "b"}
+    assert [r.line_no for r in jsonl.numbered_lines(spark, str(tmp_path)).orderBy("line_no").collect()] == [1, 2, 3]
     (tmp_path / "val.jsonl").write_text('{"text":"a"}\n{"x":1}\n')
-    with pytest.raises(Exception, match="missing_text in .*val.jsonl at line 2"):
-        jsonl.load_strict(spark, str(tmp_path)).collect()
+    with pytest.raises(ValueError, match="missing_text in .*val.jsonl at line 2"):
+        jsonl.load_strict(spark, str(tmp_path))
+    assert [(r.line_no, r.value) for r in jsonl.load_rejects(spark, str(tmp_path)).collect()] == [(2, '{"x":1}')]
 
 
 def test_lenient_load_and_missing_splits(spark, tmp_path):

@@ -64,6 +64,13 @@ def render_messages(template: str | Column, messages: Column, eos: str = "", bos
     return F.when(F.size(messages) == 0, F.lit(bos)).otherwise(F.array_join(pieces, ""))
 
 
+def render_turns(template: str, turns: list[tuple[str, Column]], eos: str = "", bos: str = "") -> Column:
+    """A fixed list of `(role, content)` as one text, without building an array."""
+    return F.concat(
+        *[render_piece(template, F.lit(r), c, F.lit(i), eos, bos) for i, (r, c) in enumerate(turns)]
+    )
+
+
 def select_template(own: Column, class_default: Column, model_name: Column) -> Column:
     """The tokenizer's own template, else its class default, else one by model name."""
     by_name = F.when(F.lower(model_name).contains("qwen"), "qwen").otherwise("fallback")
@@ -79,7 +86,10 @@ def prompt_messages(instruction: Column) -> Column:
     return F.array(message("system", F.lit(SYSTEM_DEFAULT)), message("user", instruction))
 
 
-def instruction_messages(instruction: Column, extra: Column, output: Column) -> Column:
+def instruction_turns(instruction: Column, extra: Column, output: Column) -> list[tuple[str, Column]]:
     """Instruction and optional input as the user turn, output as the assistant turn."""
-    user = F.concat_ws("\n\n", instruction, F.nullif(extra, F.lit("")))
-    return F.array(message("user", user), message("assistant", output))
+    return [("user", F.concat_ws("\n\n", instruction, F.nullif(extra, F.lit("")))), ("assistant", output)]
+
+
+def instruction_messages(instruction: Column, extra: Column, output: Column) -> Column:
+    return F.array(*[message(role, content) for role, content in instruction_turns(instruction, extra, output)])

@@ -10,6 +10,11 @@ from ..params import TrainLayout
 from .ordering import BEFORE, BUCKET, HASH, TOTAL, bucket_offsets, running_start, with_order
 
 
+# Offsets have at most 65,536 rows per epoch; up to here they are broadcast, beyond it
+# Spark joins them by measured size.
+BROADCAST_EPOCHS = 16
+
+
 def _placed(df: DataFrame, key: str, length: Column, seed: int, block: int, carry: list[str]) -> DataFrame:
     """One row per (document, block) overlap, blocks complete only.
 
@@ -41,21 +46,37 @@ def _placed(df: DataFrame, key: str, length: Column, seed: int, block: int, carr
     )
 
 
-def pack_membership(df: DataFrame, block: int, key: str, seed: int, text: str = "text") -> DataFrame:
-    """`chunk_id, key, from_token, to_token`: which tokens of which document fill which block."""
-    placed = _placed(df, key, token_count(F.col(text)), seed, block, [])
+def _length(text: str, length: str | None) -> Column:
+    return F.col(length) if length else token_count(F.col(text))
+
+
+def pack_membership(
+    df: DataFrame, block: int, key: str, seed: int, text: str = "text", length: str | None = None
+) -> DataFrame:
+    """`chunk_id, key, from_token, to_token`: which tokens of which document fill which block.
+
+    `length` names a column of token counts, as prepared rows have; with it no text is read.
+    """
+    placed = _placed(df, key, _length(text, length), seed, block, [])
     return placed.select("chunk_id", key, "from_token", "to_token")
 
 
 def pack_blocks(
-    df: DataFrame, block: int, key: str, seed: int, text: str = "text", eos: str = "<eos>"
+    df: DataFrame,
+    block: int,
+    key: str,
+    seed: int,
+    text: str = "text",
+    eos: str = "<eos>",
+    length: str | None = None,
 ) -> DataFrame:
     """The blocks themselves: `chunk_id, n_docs, n_tokens, tokens`.
 
     Documents are cut into their slices before the shuffle by block, so a
-    group holds `block` tokens at most, however long a document is.
+    group holds `block` tokens at most, however long a document is. With a
+    `length` column the pass that places the documents reads no text.
     """
-    placed = _placed(df, key, token_count(F.col(text)), seed, block, [text])
+    placed = _placed(df, key, _length(text, length), seed, block, [text])
     ids = F.concat(tokens(F.col(text)), F.array(F.lit(eos)))
     cut = F.slice(ids, (F.col("from_token") + 1).cast("int"), (F.col("to_token") - F.col("from_token")).cast("int"))
     parts = placed.select("chunk_id", key, F.struct("position", cut.alias("tokens")).alias("part"))
@@ -71,12 +92,14 @@ def pack_blocks(
     )
 
 
-def pack_stats(df: DataFrame, block: int, key: str, text: str = "text", seed: int = 0) -> DataFrame:
+def pack_stats(
+    df: DataFrame, block: int, key: str, text: str = "text", seed: int = 0, length: str | None = None
+) -> DataFrame:
     """Blocks, tokens placed, tokens left over, and documents per block."""
-    lengths = df.select((token_count(F.col(text)) + 1).alias("_n")).agg(
+    lengths = df.select((_length(text, length) + 1).alias("_n")).agg(
         F.count(F.lit(1)).alias("n_docs"), F.coalesce(F.sum("_n"), F.lit(0)).alias("n_tokens")
     )
-    members = pack_membership(df, block, key, seed, text).agg(F.count(F.lit(1)).alias("n")).scalar()
+    members = pack_membership(df, block, key, seed, text, length).agg(F.count(F.lit(1)).alias("n")).scalar()
     return (
         lengths.withColumn("n_blocks", F.expr(f"n_tokens div {block}"))
         .withColumn("dropped_tokens", F.col("n_tokens") % block)
@@ -104,7 +127,9 @@ def step_plan(df: DataFrame, key: str, layout: TrainLayout, seed: int) -> DataFr
     step = F.col("_first") + F.expr(f"_rank div {per_step}") + 1
     if layout.max_steps:
         offsets = offsets.where(F.col("_first") + F.expr(f"_before div {per_step}") < layout.max_steps)
-    placed = ordered.join(F.broadcast(offsets), ["epoch", BUCKET])
+    if layout.epochs <= BROADCAST_EPOCHS:
+        offsets = F.broadcast(offsets)
+    placed = ordered.join(offsets, ["epoch", BUCKET])
     in_bucket = running_start(placed, key, F.lit(1), ["epoch"])
     plan = (
         placed.withColumn("_rank", F.col(BEFORE) + in_bucket)

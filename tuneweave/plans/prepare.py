@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.chat import instruction_messages, render_messages
+from ..functions.chat import instruction_turns, render_turns
 from ..functions.hashing import split_label
 from ..functions.text import cutoff, is_blank, token_count
 from ..operators.conversations import conversation_texts
@@ -29,8 +29,8 @@ def _wanted(corpus: DataFrame, params: PrepareParams) -> DataFrame:
 def prepare_rows(corpus: DataFrame, params: PrepareParams) -> DataFrame:
     """The row-local part, without the sample; also runs on a stream."""
     kept = _wanted(corpus, params)
-    messages = instruction_messages(F.col("instruction"), F.col("input"), F.col("output"))
-    text = render_messages(params.template, messages, params.eos, params.bos)
+    pair = instruction_turns(F.col("instruction"), F.col("input"), F.col("output"))
+    text = render_turns(params.template, pair, params.eos, params.bos)
     return _finish(kept.select("id", text.alias("text")), params)
 
 

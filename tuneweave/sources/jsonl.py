@@ -10,21 +10,25 @@ from ..functions.text import is_blank, strip
 REQUIRED_SPLITS = ["train", "validation"]
 
 
-def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of text files as `file, line_no, value`, `line_no` from 1 in every file.
-
-    Row ids grow by one along a file block, so a line's number is the lines in
-    the blocks before it, plus its distance from the first id of its own. Only
-    one row per block is shuffled. Should the two scans ever be cut into
-    different blocks, the job fails instead of numbering wrongly.
-    """
-    lines = spark.read.text(path).select(
+def raw_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of text files as `file, value`, with the file block and row id that place them."""
+    return spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("_at"),
         F.monotonically_increasing_id().alias("_id"),
         "value",
     )
-    blocks = lines.groupBy("file", "_at").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+
+
+def with_line_numbers(lines: DataFrame, raw: DataFrame) -> DataFrame:
+    """Add `line_no`, from 1 in every file, to some of the raw lines.
+
+    Row ids grow by one along a file block, so a line's number is the lines in
+    the blocks before it, plus its distance from the first id of its own. Of
+    the raw lines only one row per block is shuffled. Should the two scans ever
+    be cut into different blocks, the job fails instead of numbering wrongly.
+    """
+    blocks = raw.groupBy("file", "_at").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = F.expr("sum(_n) over (partition by file order by _at) - _n")
     starts = blocks.select("file", "_at", "_first", "_n", before.alias("_before"))
     offset = F.col("_id") - F.col("_first")
@@ -32,7 +36,14 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     line_no = F.when(in_block, F.col("_before") + offset + 1).otherwise(
         F.raise_error(F.lit("file blocks changed between scans")).cast("long")
     )
-    return lines.join(starts, ["file", "_at"], "left").select("file", line_no.alias("line_no"), "value")
+    kept = [c for c in lines.columns if c not in ("file", "_at", "_id")]
+    return lines.join(starts, ["file", "_at"], "left").select("file", line_no.alias("line_no"), *kept)
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """All lines of text files as `file, line_no, value`."""
+    raw = raw_lines(spark, path)
+    return with_line_numbers(raw, raw)
 
 
 def _parsed(value: Column) -> Column:
@@ -65,12 +76,22 @@ def rejected_records(checked: DataFrame) -> DataFrame:
     return checked.where(F.col("reason").isNotNull()).drop("text")
 
 
+def load_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """`file, line_no, value, reason` of bad records; good ones are not shuffled for it."""
+    raw = raw_lines(spark, path)
+    return with_line_numbers(rejected_records(check_records(raw)), raw)
+
+
 def load_strict(spark: SparkSession, path: str) -> DataFrame:
-    """`text` of all splits below `path`; the job fails at the first bad record, naming file and line."""
-    checked = check_records(numbered_lines(spark, path))
-    where = F.concat_ws(" ", "reason", F.lit("in"), "file", F.lit("at line"), F.col("line_no").cast("string"))
-    text = F.when(F.col("reason").isNull(), F.col("text")).otherwise(F.raise_error(where).cast("string"))
-    return checked.select("file", "line_no", text.alias("text"))
+    """`file, text` of all splits below `path`; a bad record is an error that names file and line.
+
+    The check is a pass of its own that yields the first bad record of the
+    files, if any. The rows then come straight from the scan.
+    """
+    first = load_rejects(spark, path).orderBy("file", "line_no").limit(1).collect()
+    if first:
+        raise ValueError(f"{first[0].reason} in {first[0].file} at line {first[0].line_no}")
+    return good_records(check_records(raw_lines(spark, path))).select("file", "text")
 
 
 def load_validation(spark: SparkSession, path: str) -> DataFrame:
