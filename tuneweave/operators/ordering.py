@@ -19,6 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.hashing import order_hash
+from ..session import stored
 
 BUCKET_DIGITS = 4
 HASH, BUCKET = "_hash", "_bucket"
@@ -56,10 +57,11 @@ def running_start(ordered: DataFrame, key: str, weight: Column, group: list[str]
 def cut_points(ordered: DataFrame, key: str, wanted: Column) -> DataFrame:
     """The buckets that hold the first `wanted` rows, and where the last one is cut.
 
-    `wanted` may use the total row count. Only rows of the one bucket that the
-    cut falls in are ranked; the result has at most 65,536 rows.
+    `wanted` may use the total row count. The bucket counts are stored, so the
+    keys are scanned once for them and once for the one bucket that the cut
+    falls in, whose rows alone are ranked. The result has at most 65,536 rows.
     """
-    offsets = bucket_offsets(ordered, F.lit(1)).withColumn("_wanted", wanted)
+    offsets = stored(bucket_offsets(ordered, F.lit(1)).withColumn("_wanted", wanted), "offsets")
     inside = offsets.where(F.col(BEFORE) < F.col("_wanted"))
     edge = inside.where(F.col(BEFORE) + F.col(WITHIN) > F.col("_wanted"))
     rank = F.row_number().over(W.partitionBy(BUCKET).orderBy(HASH, key))
@@ -70,6 +72,8 @@ def cut_points(ordered: DataFrame, key: str, wanted: Column) -> DataFrame:
         .where(F.col("_rank") + F.col(BEFORE) == F.col("_wanted"))
         .select(BUCKET, F.struct(F.col(HASH), F.col(key)).alias("_last"))
     )
+    if edge.isEmpty():
+        last = last.limit(0)
     return inside.select(BUCKET, TOTAL, "_wanted").join(last, BUCKET, "left")
 
 

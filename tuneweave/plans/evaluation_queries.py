@@ -12,6 +12,7 @@ from ..functions.chat import prompt_messages, render_messages
 from ..functions.hashing import split_label
 from ..operators import evaluation, language, scoring
 from ..operators.conversations import turn_pairs
+from ..session import stored
 from ..sources.tables import table
 from .corpus_queries import EOS, SEED, SQL_PAIRS, TEST_SIZE, documents, sql_count, sql_qwen, sql_split, sql_trim, turns
 
@@ -23,7 +24,7 @@ def train_split(spark, folder) -> DataFrame:
 
 
 def profile(spark, folder) -> DataFrame:
-    return language.language_profile(train_split(spark, folder), CODES)
+    return stored(language.language_profile(train_split(spark, folder), CODES), "profile")
 
 
 def detected(spark, folder):
@@ -31,7 +32,8 @@ def detected(spark, folder):
 
 
 def raw_scores(spark, folder) -> DataFrame:
-    return scoring.unigram_scores(documents(spark, folder), scoring.vocabulary(train_split(spark, folder)), "doc_id")
+    vocab = stored(scoring.vocabulary(train_split(spark, folder)), "vocabulary")
+    return scoring.unigram_scores(documents(spark, folder), vocab, "doc_id")
 
 
 def scores(spark, folder):
