@@ -7,6 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from tuneweave.functions.tokenizers import token_ids
 from tuneweave.operators import conversations, evaluation, language, packing, sampling, scoring
 from tuneweave.params import PrepareParams, TrainLayout, ParameterError
 from tuneweave.plans.prepare import prepare_instructions, preprocess_summary
@@ -232,3 +233,27 @@ def test_generate_streams_batches(spark):
             yield batch.str.upper() + " "
 
     assert all(r.generation == f"P{r.id}" for r in evaluation.generate(rows, model).collect())
+
+
+def test_plugged_tokenizer(spark):
+    class Characters:
+        """A tokenizer of one id per character."""
+
+        def encode(self, text):
+            return [ord(c) for c in text]
+
+        def decode(self, ids):
+            return "".join(map(chr, ids))
+
+    rows = [(1, "a", "", "x y", "en"), (2, "b", "", "é" * 200, "en")]
+    corpus = spark.createDataFrame(rows, "id long, instruction string, input string, output string, lang string")
+    params = PrepareParams(sample_size=None, cutoff_len=90, eos="")
+    got = {r.id: r for r in prepare_instructions(corpus, params, Characters).collect()}
+    assert (got[1].was_cut, got[1].n_tokens) == (False, len(got[1].text))
+    assert (got[2].was_cut, got[2].n_tokens, len(got[2].text)) == (True, 90, 90)
+    encoded = corpus.select("id", token_ids(F.col("output"), Characters).alias("ids"))
+    blocks = packing.pack_blocks(encoded, 10, "id", 3, eos=0, ids="ids").orderBy("chunk_id").collect()
+    stream = []
+    for key in sorted((1, 2), key=lambda k: order("pack", k)):
+        stream += Characters().encode(rows[key - 1][3]) + [0]
+    assert [t for b in blocks for t in b.tokens] == stream[: len(stream) // 10 * 10]

@@ -67,18 +67,21 @@ def pack_blocks(
     key: str,
     seed: int,
     text: str = "text",
-    eos: str = "<eos>",
+    eos: str | int = "<eos>",
     length: str | None = None,
+    ids: str | None = None,
 ) -> DataFrame:
     """The blocks themselves: `chunk_id, n_docs, n_tokens, tokens`.
 
     Documents are cut into their slices before the shuffle by block, so a
     group holds `block` tokens at most, however long a document is. With a
-    `length` column the pass that places the documents reads no text.
+    `length` column the pass that places the documents reads no text. `ids`
+    names an array column of token ids to pack in place of words; `eos` is then an id.
     """
-    placed = _placed(df, key, _length(text, length), seed, block, [text])
-    ids = F.concat(tokens(F.col(text)), F.array(F.lit(eos)))
-    cut = F.slice(ids, (F.col("from_token") + 1).cast("int"), (F.col("to_token") - F.col("from_token")).cast("int"))
+    size = F.size(ids).cast("long") if ids and not length else _length(text, length)
+    placed = _placed(df, key, size, seed, block, [ids or text])
+    sequence = F.concat(F.col(ids) if ids else tokens(F.col(text)), F.array(F.lit(eos)))
+    cut = F.slice(sequence, (F.col("from_token") + 1).cast("int"), (F.col("to_token") - F.col("from_token")).cast("int"))
     parts = placed.select("chunk_id", key, F.struct("position", cut.alias("tokens")).alias("part"))
     return (
         parts.groupBy("chunk_id")

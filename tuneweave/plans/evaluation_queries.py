@@ -46,14 +46,14 @@ def corpus_perplexity(spark, folder):
     return by_lang.withColumn("perplexity", F.round("perplexity", 4))
 
 
-def score_by_length(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """A model of known answers: the loss is one over the token count."""
-    for batch in batches:
-        n = batch["text"].str.split().str.len()
-        yield pd.DataFrame({"doc_id": batch["doc_id"], "n_tokens": n, "loss": 1.0 / n.where(n > 1)})
-
-
 def model_scores(spark, folder):
+    # Models are inner functions, which Spark ships whole to its workers.
+    def score_by_length(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """A model of known answers: the loss is one over the token count."""
+        for batch in batches:
+            n = batch["text"].str.split().str.len()
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_tokens": n, "loss": 1.0 / n.where(n > 1)})
+
     found = scoring.score_texts(documents(spark, folder).select("doc_id", "text"), score_by_length, "doc_id")
     return found.withColumn("loss", F.round("loss", 9))
 
@@ -87,13 +87,12 @@ def check_summary(spark, folder):
     )
 
 
-def answer_length(prompts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """A model of known answers: how long the prompt is."""
-    for batch in prompts:
-        yield " length " + batch.str.len().astype(str) + "\n"
-
-
 def generated(spark, folder):
+    def answer_length(prompts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        """A model of known answers: how long the prompt is."""
+        for batch in prompts:
+            yield " length " + batch.str.len().astype(str) + "\n"
+
     rows = table(spark, folder, "benchmark").select(
         "item_id", render_messages("qwen", prompt_messages(F.col("text")), EOS).alias("prompt_text")
     )

@@ -8,39 +8,48 @@ from pyspark.sql import functions as F
 from ..functions.chat import instruction_turns, render_turns
 from ..functions.hashing import split_label
 from ..functions.text import cutoff, is_blank, token_count
+from ..functions.tokenizers import Load, cut_text
 from ..operators.conversations import conversation_texts
 from ..operators.sampling import sample_n
 from ..params import PrepareParams
 from ..sources.tables import filter_language
 
 
-def prepare_instructions(corpus: DataFrame, params: PrepareParams) -> DataFrame:
+def prepare_instructions(corpus: DataFrame, params: PrepareParams, tokenizer: Load | None = None) -> DataFrame:
     """`id, text, n_tokens, was_cut, split` from `id, instruction, input, output, lang`.
 
-    After the sample everything is row-local.
+    After the sample everything is row-local. Without a `tokenizer` tokens are
+    runs of non-space characters.
     """
-    return prepare_rows(sample_n(_wanted(corpus, params), params.sample_size, "id", params.seed), params)
+    sampled = sample_n(_wanted(corpus, params), params.sample_size, "id", params.seed)
+    return prepare_rows(sampled, params, tokenizer)
 
 
 def _wanted(corpus: DataFrame, params: PrepareParams) -> DataFrame:
     return filter_language(corpus, params.languages).where(~is_blank(F.col("output")))
 
 
-def prepare_rows(corpus: DataFrame, params: PrepareParams) -> DataFrame:
+def prepare_rows(corpus: DataFrame, params: PrepareParams, tokenizer: Load | None = None) -> DataFrame:
     """The row-local part, without the sample; also runs on a stream."""
     kept = _wanted(corpus, params)
     pair = instruction_turns(F.col("instruction"), F.col("input"), F.col("output"))
     text = render_turns(params.template, pair, params.eos, params.bos)
-    return _finish(kept.select("id", text.alias("text")), params)
-
-
-def _finish(texts: DataFrame, params: PrepareParams) -> DataFrame:
-    n = F.col("n_tokens")
-    return texts.withColumn("n_tokens", token_count(F.col("text"))).select(
+    return _finish(kept.select("id", text.alias("text")), params, tokenizer)
+
+
+def _finish(texts: DataFrame, params: PrepareParams, tokenizer: Load | None) -> DataFrame:
+    n, limit = F.col("n_tokens"), params.cutoff_len
+    if tokenizer is None:
+        counted = texts.withColumn("n_tokens", token_count(F.col("text")))
+        text = cutoff(F.col("text"), limit, n)
+    else:
+        counted = texts.withColumn("_cut", cut_text(F.col("text"), tokenizer, limit)).select("id", "_cut.*")
+        text = F.col("text")
+    return counted.select(
         "id",
-        cutoff(F.col("text"), params.cutoff_len, n).alias("text"),
-        F.least(n, F.lit(params.cutoff_len)).alias("n_tokens"),
-        (n > params.cutoff_len).alias("was_cut"),
+        text.alias("text"),
+        F.least(n, F.lit(limit)).alias("n_tokens"),
+        (n > limit).alias("was_cut"),
         split_label(F.col("id"), params.test_size, params.seed).alias("split"),
     )
 
