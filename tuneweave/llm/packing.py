@@ -15,7 +15,12 @@ input partitions.
 
 from __future__ import annotations
 
+import json
+import os
+import re
+import sys
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -35,15 +40,91 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 BATCH = 1 << 20
 
 
-def load_tokenizer(path: str):
-    """Batch encoder of a tokenizers file; the library's own threads stay off, as Spark runs the tasks in parallel."""
-    import os
+# Chunks between spaces whose ids a worker remembers.
+CACHE = 700_000
+_uncut = re.compile(r"\s (?!\S)").search
+_encoders: dict[str, Callable] = {}
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
 
-    own = Tokenizer.from_file(path)
-    return lambda texts: [e.ids for e in own.encode_batch_fast(texts, add_special_tokens=False)]
+def context_free(path: str) -> bool:
+    """Whether the file's ids before each space do not depend on what follows: byte-level BPE cut by its usual pattern."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    cut = spec.get("pre_tokenizer") or {}
+    usual = cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True)
+    plain = not any(t.get("lstrip") or t.get("rstrip") or " " in t.get("content", "") for t in spec.get("added_tokens") or [])
+    return usual and plain and spec.get("normalizer") is None
+
+
+def little(ids: list[int]) -> bytes:
+    held = array("I", ids)
+    if sys.byteorder == "big":
+        held.byteswap()
+    return held.tobytes()
+
+
+def stem_of(chunk: str) -> tuple[str, bool]:
+    """The chunk without points and commas after a Latin letter, and whether it had none."""
+    if chunk[-1:] not in (".", ","):
+        return chunk, True
+    stem = chunk.rstrip(".,")
+    return (stem, False) if stem and stem[-1] < "\u0250" and stem[-1].isalpha() else (chunk, True)
+
+
+def load_tokenizer(path: str) -> Callable[[list[str]], list[bytes]]:
+    """Encoder of texts by a tokenizers file to little-endian 32-bit ids, one per worker process.
+
+    The library's own threads stay off, as Spark runs the tasks in parallel. With
+    byte-level BPE a text is the chain of its chunks that begin with a space, unless a
+    space stands between other white space; so each distinct chunk is encoded once.
+    """
+    if path not in _encoders:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        own = Tokenizer.from_file(path)
+
+        def whole(texts: list[str]) -> list[bytes]:
+            return [little(e.ids) for e in own.encode_batch_fast(texts, add_special_tokens=False)]
+
+        known: dict[str, bytes] = {}
+        ends: dict[str, bytes] = {"": b""}
+
+        def learn(chunks: set[str]) -> None:
+            """Ids of chunks after a space; points and commas after a letter are pre-tokens of their own."""
+            stems = {c: c if plain else stem for c in chunks for stem, plain in [stem_of(c)]}
+            listed = list(set(stems.values()).difference(known))
+            known.update(zip(listed, whole([" " + c for c in listed])))
+            for c, stem in stems.items():
+                if c != stem:
+                    end = c[len(stem) :]
+                    if end not in ends:
+                        ends[end] = whole([end])[0]
+                    known[c] = known[stem] + ends[end]
+
+        def by_chunks(texts: list[str]) -> list[bytes]:
+            free = [None if _uncut(t) else t.split(" ") for t in texts]
+            # The first chunk of a text has no space before it, the others have.
+            heads = [c[0] for c in free if c]
+            fresh = set().union(*(c[1:] for c in free if c))
+            new = fresh.difference(known)
+            if len(known) + len(new) > CACHE:
+                known.clear()
+                ends.clear()
+                new = fresh
+            learn(new)
+            first = iter(whole(heads + [t for t, c in zip(texts, free) if c is None]))
+            starts = [next(first) for _ in heads]
+            rest, begun, out = list(first)[::-1], iter(starts), []
+            for chunks in free:
+                if chunks is None:
+                    out.append(rest.pop())
+                else:
+                    out.append(next(begun) + b"".join(map(known.__getitem__, chunks[1:])))
+            return out
+
+        _encoders[path] = by_chunks if context_free(path) else whole
+    return _encoders[path]
 
 
 def groups(texts: list[str]) -> Iterator[list[str]]:
@@ -59,20 +140,20 @@ def groups(texts: list[str]) -> Iterator[list[str]]:
         yield held
 
 
-def tokenised(docs: DataFrame, load: Callable[[], Callable[[list[str]], list]], separator: int = SEPARATOR) -> DataFrame:
+def tokenised(docs: DataFrame, load: Callable[[], Callable[[list[str]], list[bytes]]], separator: int = SEPARATOR) -> DataFrame:
     """Ids (little-endian, 32 bits) of every document with the offset inside its partition, written once."""
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         encode, part, local = load(), TaskContext.get().partitionId(), 0
+        end = separator.to_bytes(4, "little")
         for batch in batches:
             at, keys = 0, batch["doc_id"]
             for texts in groups([t or "" for t in batch["text"].to_pylist()]):
                 data, offsets = [], []
                 for ids in encode(texts):
-                    ids.append(separator)
-                    data.append(np.array(ids, dtype="<u4").tobytes())
+                    data.append(ids + end)
                     offsets.append(local)
-                    local += len(ids)
+                    local += len(ids) // 4 + 1
                 yield {
                     "doc_id": keys.slice(at, len(texts)),
                     "part": [part] * len(texts),
@@ -92,7 +173,7 @@ def bases(tokens: DataFrame) -> DataFrame:
     return totals.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
 
 
-def pack(docs: DataFrame, load: Callable[[], Callable[[list[str]], list]], width: int = WIDTH, separator: int = SEPARATOR) -> DataFrame:
+def pack(docs: DataFrame, load: Callable[[], Callable[[list[str]], list[bytes]]], width: int = WIDTH, separator: int = SEPARATOR) -> DataFrame:
     """One row per piece of a document in a sequence of `width` ids.
 
     Only the bases are broadcast: one row of 16 bytes per input partition, so
