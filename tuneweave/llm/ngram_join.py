@@ -10,9 +10,10 @@
 3. In each block a signature tree is built: its nodes hold the OR of the token
    bitmaps below them and the range of set sizes. Two trees (or one and itself)
    are walked together; a pair of nodes is dropped when its largest possible
-   overlap is too small for a link, or when all below it is one component already. Pairs of
-   documents that remain are compared exactly.
-4. First each class is compared in its largest block, which joins large groups of near copies. Then all
+   overlap is too small for a link, or when all below it is one component already.
+   This first runs on bitmaps alone; classes that are left without a partner drop out.
+4. The classes that remain are compared exactly, walking the trees again. First each class
+   is compared in its largest block, which joins large groups of near copies. Then all
    other blocks, and pairs of blocks of one shingle, that hold more than one component are.
 
 Shingles are compared by 64-bit hashes and sets by 128-bit hashes. No block,
@@ -138,29 +139,32 @@ def route_tokens(tokens: np.ndarray, spans: np.ndarray, often: np.ndarray, perce
 
 
 def routes(docs: DataFrame, size: int, percent: int, often: np.ndarray) -> DataFrame:
-    """Written once: (fp, n, keys). Classes repeat at most once per input partition."""
+    """Written once: (fp, n, map, keys). Classes repeat at most once per input partition."""
     shared = docs.sparkSession.sparkContext.broadcast(often)
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         seen: set[bytes] = set()
         for batch in batches:
-            prints, sizes, keys = [], [], []
+            prints, sizes, maps, keys = [], [], [], []
             for value in batch["text"]:
                 tokens, spans = shingles(value.as_py(), size)
                 if len(tokens) and (fp := fingerprint(tokens)) not in seen:
                     seen.add(fp)
                     prints.append(fp)
                     sizes.append(len(tokens))
+                    maps.append(signature(tokens))
                     keys.append(route_tokens(tokens, spans, shared.value, percent).view(np.int64))
-            yield {"fp": prints, "n": sizes, "keys": keys}
+            yield {"fp": prints, "n": sizes, "map": maps, "keys": keys}
 
-    return stored(map_batches(docs.where("doc_id is not null").select("text"), "fp binary, n long, keys array<long>", run), "routes")
+    schema = "fp binary, n long, map binary, keys array<long>"
+    return stored(map_batches(docs.where("doc_id is not null").select("text"), schema, run), "routes")
 
 
 class Blocks:
     """Cuts runs of equal keys, sorted by key, size and class, into blocks of classes."""
 
-    def __init__(self) -> None:
+    def __init__(self, percent: int) -> None:
+        self.percent = percent
         self.key: int | None = None
         self.first = True
         self.members: list[tuple[int, bytes]] = []
@@ -171,6 +175,10 @@ class Blocks:
         from xxhash import xxh3_128_digest
 
         fps = [fp for _, fp in self.members]
+        if not part and len(fps) > 1:
+            # Sizes are sorted: who fits neither neighbour fits nobody in a block that stands alone.
+            fits = [100 * a >= self.percent * b for (a, _), (b, _) in zip(self.members, self.members[1:])]
+            fps = [fp for fp, before, after in zip(fps, [False, *fits], [*fits, False]) if before or after]
         if len(fps) > 1 or part and fps and not self.cut:
             self.out["key"].append(self.key)
             self.out["id"].append(xxh3_128_digest(b"".join(fps)))
@@ -200,7 +208,7 @@ class Blocks:
         return out
 
 
-def blocked(routed: DataFrame) -> DataFrame:
+def blocked(routed: DataFrame, percent: int) -> DataFrame:
     """Written once: blocks (key, id, fps, low, high, part) of classes that meet; `part`: the key may have other blocks.
 
     Rows are dealt by ranges of (key, size, class), so a key with very many classes goes to several tasks.
@@ -209,7 +217,7 @@ def blocked(routed: DataFrame) -> DataFrame:
     rows = rows.repartitionByRange("key", "n", "fp").sortWithinPartitions("key", "n", "fp")
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
-        own = Blocks()
+        own = Blocks(percent)
         for batch in batches:
             keys = batch["key"].to_numpy()
             if not len(keys):
@@ -232,26 +240,32 @@ def blocked(routed: DataFrame) -> DataFrame:
     return stored(map_batches(rows, schema, run), "blocks")
 
 
+def signature(tokens: np.ndarray) -> bytes:
+    """Bitmap of a set: a bit or more for each token, a power of two, at most WIDEST."""
+    bits = min(WIDEST, max(64, 1 << int(len(tokens) - 1).bit_length()))
+    filled = np.zeros(bits, bool)
+    filled[(tokens & np.uint64(bits - 1)).astype(np.int64)] = True
+    return np.packbits(filled).tobytes()
+
+
 class Tree:
     """Levels of nodes over sets sorted by size, the sets first; each has bitmap, size range, largest excess and component."""
 
-    def __init__(self, sets: list[np.ndarray], labels: np.ndarray, bits: int):
-        n = len(sets)
-        words = np.zeros((n, bits), bool)
-        for i, s in enumerate(sets):
-            words[i, (s & np.uint64(bits - 1)).astype(np.int64)] = True
-        maps = np.packbits(words, axis=1).view(np.uint64)
-        sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    def __init__(self, maps: list[bytes], sizes: list[int], labels: np.ndarray, width: int):
+        own = [np.frombuffer(m, np.uint8) for m in maps]
+        # Repeating a shorter bitmap sets every bit that its tokens may have in a longer one.
+        level = np.stack([np.tile(m, width // len(m)) for m in own]).view(np.uint64)
+        low = np.array(sizes, dtype=np.int64)
         # Tokens that share a bit with another token of the same set.
-        excess = sizes - np.bitwise_count(maps).sum(axis=1).astype(np.int64)
-        self.levels = [(maps, sizes, sizes, excess, labels)]
+        excess = low - np.array([int(np.bitwise_count(m).sum()) for m in own], dtype=np.int64)
+        self.levels = [(level, low, low, excess, labels)]
         while len(self.levels[-1][1]) > 1:
-            maps, low, high, excess, labels = self.levels[-1]
+            level, low, high, excess, labels = self.levels[-1]
             at = np.arange(0, len(low), FANOUT)
             lowest, highest = np.minimum.reduceat(labels, at), np.maximum.reduceat(labels, at)
             self.levels.append(
                 (
-                    np.bitwise_or.reduceat(maps, at, axis=0),
+                    np.bitwise_or.reduceat(level, at, axis=0),
                     np.minimum.reduceat(low, at),
                     np.maximum.reduceat(high, at),
                     np.maximum.reduceat(excess, at),
@@ -312,104 +326,130 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+def open_pairs(groups: list[list[tuple]], percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of members that may link, and the labels; members are (fp, label, n, map, ...), of one group or of two."""
+    members = [m for g in groups for m in g]
+    number: dict[bytes, int] = {}
+    labels = np.array([number.setdefault(m[1], len(number)) for m in members], dtype=np.int64)
+    width = max(len(m[3]) for m in members)
+    trees, at = [], 0
+    for g in groups:
+        trees.append(Tree([m[3] for m in g], [m[2] for m in g], labels[at : at + len(g)], width))
+        at += len(g)
+    i, j = walk(trees[0], trees[-1], len(groups) == 1, percent)
+    return i, j + (len(groups[0]) if len(groups) > 1 else 0), labels
+
+
 def links_within(groups: list[list[tuple]], percent: int) -> Iterator[tuple[bytes, bytes]]:
     """Links that join the components of one block, or of the two given blocks: a forest, found exactly.
 
-    Members are (fp, component, hashes), sorted by size.
+    Members are (fp, label, n, map, hashes), sorted by size.
     """
     members = [m for g in groups for m in g]
-    number: dict[bytes, int] = {}
-    labels = np.array([number.setdefault(m[1], len(number)) for m in members], dtype=np.int64)
-    largest = max(len(m[2]) for m in members)
-    bits = min(WIDEST, max(64, 1 << int(2 * largest - 1).bit_length()))
-    cut = len(groups[0])
-    left = Tree([m[2] for m in groups[0]], labels[:cut], bits)
-    right = left if len(groups) == 1 else Tree([m[2] for m in groups[1]], labels[cut:], bits)
-    i, j = walk(left, right, len(groups) == 1, percent)
-    if len(groups) > 1:
-        j = j + cut
+    i, j, labels = open_pairs(groups, percent)
     order = np.lexsort((j, i))
     i, j = i[order], j[order]
-    starts = np.flatnonzero(np.r_[True, i[1:] != i[:-1]]) if len(i) else []
+    starts = np.flatnonzero(np.r_[True, i[1:] != i[:-1]]).tolist() if len(i) else []
     for start, end in zip(starts, [*starts[1:], len(i)]):
         one = int(i[start])
         others = j[start:end]
         for other in others[labels[others] != labels[one]].tolist():
-            if labels[other] != labels[one] and linked(members[one][2], members[other][2], percent):
+            if labels[other] != labels[one] and linked(members[one][4], members[other][4], percent):
                 yield members[one][0], members[other][0]
                 labels[labels == labels[other]] = labels[one]
 
 
-def compare(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) found in groups of classes; `members` has (id, side, fp, label), a group has one side or two."""
-    rows = members.join(sets, "fp").select("id", "side", "n", "fp", "label", "tokens")
-    rows = rows.repartition("id").sortWithinPartitions("id", "side", "n", "fp")
+def groups_of(batches: Iterator[dict], names: list[str]) -> Iterator[list[list[tuple]]]:
+    """Groups of rows sorted by (id, side, n, fp): the members of each side, a class once."""
+    last, held = None, {}
+    for batch in batches:
+        for at, side, *member in zip(*(batch[c].to_pylist() for c in ("id", "side", *names))):
+            if at != last:
+                if held:
+                    yield [list({m[0]: m for m in held[s]}.values()) for s in sorted(held)]
+                last, held = at, {}
+            held.setdefault(side, []).append(tuple(member))
+    if held:
+        yield [list({m[0]: m for m in held[s]}.values()) for s in sorted(held)]
+
+
+def by_group(rows: DataFrame) -> DataFrame:
+    return rows.repartition("id").sortWithinPartitions("id", "side", "n", "fp")
+
+
+def sift(members: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """Written once: (id, side, fp) of the members that the trees leave with a partner; equal groups are one.
+
+    `members` has (id, side, fp, label); a group has one side or two.
+    """
+    from xxhash import xxh3_128_digest
+
+    rows = by_group(members.join(maps, "fp").select("id", "side", "fp", "label", "n", "map"))
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
-        last, held = None, {}
+        for groups in groups_of(batches, ["fp", "label", "n", "map"]):
+            fps = [m[0] for g in groups for m in g]
+            if len(fps) < 2:
+                continue
+            i, j, _ = open_pairs(groups, percent)
+            if not len(i):
+                continue
+            left = np.unique(np.r_[i, j]).tolist()
+            cut = len(groups[0])
+            found = [[fps[k] for k in left if (k >= cut) == side] for side in (False, True)] if len(groups) > 1 else [[fps[k] for k in left]]
+            name = xxh3_128_digest(b"|".join(b"".join(f) for f in found))
+            yield {"id": [name], "sides": [found]}
 
-        def done() -> dict:
-            groups = [list({m[0]: m for m in held[side]}.values()) for side in sorted(held)]
-            found = list(links_within(groups, percent)) if sum(map(len, groups)) > 1 else []
-            return {"a": [f[0] for f in found], "b": [f[1] for f in found]}
+    groups = map_batches(rows, "id binary, sides array<array<binary>>", run).dropDuplicates(["id"])
+    sides = groups.select("id", F.posexplode("sides").alias("side", "fps"))
+    return stored(sides.select("id", "side", F.explode("fps").alias("fp")), "sifted")
 
-        for batch in batches:
-            columns = [batch[c].to_pylist() for c in ("id", "side", "fp", "label", "tokens")]
-            for at, side, fp, label, tokens in zip(*columns):
-                if at != last:
-                    if held:
-                        yield done()
-                    last, held = at, {}
-                held.setdefault(side, []).append((fp, label, np.frombuffer(tokens, np.uint64)))
-        if held:
-            yield done()
+
+def compare(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Written once: links (a, b) between the classes of each group of `members` (id, side, fp, label).
+
+    Texts travel instead of sets, as they are less than half as large.
+    """
+    rows = by_group(members.join(texts, "fp").select("id", "side", "fp", "label", "n", "text"))
+
+    def run(batches: Iterator[dict]) -> Iterator[dict]:
+        for groups in groups_of(batches, ["fp", "label", "n", "text"]):
+            full = [[(*m[:3], signature(t := shingles(m[3], size)[0]), t) for m in g] for g in groups]
+            found = list(links_within(full, percent)) if sum(map(len, full)) > 1 else []
+            if found:
+                yield {"a": [f[0] for f in found], "b": [f[1] for f in found]}
 
     return stored(map_batches(rows, "a binary, b binary", run), "links")
 
 
-def live_sets(docs: DataFrame, classes: DataFrame, blocks: DataFrame, size: int) -> DataFrame:
-    """Written once: shingle sets (fp, n, tokens) of the classes that lie in blocks, from one text of each."""
-    live = blocks.select(F.explode("fps").alias("fp")).distinct().join(classes, "fp")
-    texts = docs.select("doc_id", "text").join(live.select("doc_id", F.col("fp").alias("want")), "doc_id")
+def live_texts(docs: DataFrame, classes: DataFrame, live: DataFrame, size: int) -> DataFrame:
+    """Written once: one text (fp, n, text) of each class in `live` (fp)."""
+    wanted = live.join(classes, "fp").select("doc_id", F.col("fp").alias("want"))
+    texts = docs.select("doc_id", "text").join(wanted, "doc_id")
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         for batch in batches:
-            out: dict[str, list] = {"fp": [], "n": [], "tokens": []}
-            for value, want in zip(batch["text"], batch["want"].to_pylist()):
+            sizes, at = [], []
+            for i, (value, want) in enumerate(zip(batch["text"], batch["want"].to_pylist())):
                 tokens = shingles(value.as_py(), size)[0]
+                # Another text with the same id is not the one looked for.
                 if len(tokens) and fingerprint(tokens) == want:
-                    out["fp"].append(want)
-                    out["n"].append(len(tokens))
-                    out["tokens"].append(tokens.tobytes())
-            yield out
-
-    return stored(map_batches(texts.select("text", "want"), "fp binary, n long, tokens binary", run), "live")
+                    sizes.append(len(tokens))
+                    at.append(i)
+            take = pa.array(at, pa.int64())
+            yield {"fp": batch["want"].take(take), "n": sizes, "text": batch["text"].take(take)}
 
+    return stored(map_batches(texts.select("text", "want"), "fp binary, n long, text string", run), "live")
 
-def link_components(docs: DataFrame, classes: DataFrame, size: int, percent: int, often: np.ndarray) -> DataFrame:
-    """(vertex, component) of all classes with a link, both fingerprints."""
-    blocks = blocked(routes(docs, size, percent, often))
-    sets = live_sets(docs, classes, blocks, size)
-    unique = stored(blocks.groupBy("id").agg(F.first("fps").alias("fps")).where(F.size("fps") > 1), "unique")
-    inside = unique.select("id", F.explode("fps").alias("fp"), F.size("fps").alias("size"))
-    # One block of each class, the largest.
-    chosen = inside.groupBy("fp").agg(F.max(F.struct("size", "id")).alias("m")).select(F.col("m.id").alias("id")).distinct()
-    chosen = stored(chosen, "chosen")
-    side = F.lit(0).alias("side")
-    first = inside.join(chosen, "id", "left_semi").select("id", side, "fp", F.col("fp").alias("label"))
-    found = compare(first, sets, percent)
-    labels = components(found)
 
-    def labelled(rows: DataFrame) -> DataFrame:
-        known = labels.select(F.col("vertex").alias("fp"), "component")
-        return rows.join(known, "fp", "left").withColumn("label", F.coalesce("component", "fp")).drop("component")
+def labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """`members` with the component of each class as label."""
+    known = labels.select(F.col("vertex").alias("fp"), "component")
+    return members.join(known, "fp", "left").select("id", "side", "fp", F.coalesce("component", "fp").alias("label"))
 
-    def open_groups(rows: DataFrame) -> DataFrame:
-        """Groups that hold more than one component."""
-        return rows.groupBy("id").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l != h").select("id")
 
-    rest = stored(labelled(inside.join(chosen, "id", "left_anti").select("id", side, "fp")), "rest")
-    rest = rest.join(open_groups(rest), "id", "left_semi").select("id", "side", "fp", "label")
+def block_pairs(blocks: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Members (id, side, fp, label) of pairs of blocks of one shingle with fitting sizes that are not one component already."""
     parts = blocks.where("part").select("key", "id", "low", "high").distinct()
     one, two = parts.alias("one"), parts.alias("two")
     pairs = (
@@ -419,20 +459,49 @@ def link_components(docs: DataFrame, classes: DataFrame, size: int, percent: int
         .select(F.col("one.id").alias("first"), F.col("two.id").alias("second"))
         .distinct()
     )
-    # A block whose members all are one component needs no walk against another block of that component.
-    members = blocks.where("part").groupBy("id").agg(F.first("fps").alias("fps")).select("id", F.explode("fps").alias("fp"))
-    members = stored(labelled(members), "members")
+    members = blocks.where("part").groupBy("id").agg(F.first("fps").alias("fps"))
+    members = members.select("id", F.lit(0).alias("side"), F.explode("fps").alias("fp"))
+    members = stored(labelled(members, labels), "members")
     spans = members.groupBy("id").agg(F.min("label").alias("l"), F.max("label").alias("h"))
     a = spans.select(F.col("id").alias("first"), F.col("l").alias("la"), F.col("h").alias("ha"))
     b = spans.select(F.col("id").alias("second"), F.col("l").alias("lb"), F.col("h").alias("hb"))
-    pairs = stored(pairs.join(a, "first").join(b, "second").where("not (la = ha and lb = hb and la = lb)").select("first", "second"), "pairs")
-    both = F.concat("first", "second").alias("pair")
-    across = pairs.select(both, F.col("first").alias("id"), F.lit(0).alias("side")).unionByName(
-        pairs.select(both, F.col("second").alias("id"), F.lit(1).alias("side"))
+    left = pairs.join(a, "first").join(b, "second").where("not (la = ha and lb = hb and la = lb)")
+    left = stored(left.select("first", "second"), "pairs")
+    name = F.concat("first", "second").alias("pair")
+    sides = left.select(name, F.col("first").alias("id"), F.lit(0).alias("s")).unionByName(
+        left.select(name, F.col("second").alias("id"), F.lit(1).alias("s"))
     )
-    across = across.join(members, "id").select(F.col("pair").alias("id"), "side", "fp", "label")
-    more = compare(rest.unionByName(across), sets, percent)
-    return components(found.unionByName(more))
+    return sides.join(members, "id").select(F.col("pair").alias("id"), F.col("s").alias("side"), "fp", "label")
+
+
+def link_components(docs: DataFrame, classes: DataFrame, size: int, percent: int, often: np.ndarray) -> DataFrame:
+    """(vertex, component) of all classes with a link, both fingerprints."""
+    routed = routes(docs, size, percent, often)
+    blocks = blocked(routed, percent)
+    maps = routed.select("fp", "n", "map").dropDuplicates(["fp"])
+    inside = blocks.groupBy("id").agg(F.first("fps").alias("fps")).where(F.size("fps") > 1)
+    inside = inside.select("id", F.lit(0).alias("side"), F.explode("fps").alias("fp"))
+    inside = sift(inside.select("id", "side", "fp", F.col("fp").alias("label")), maps, percent)
+    texts = live_texts(docs, classes, inside.select("fp").distinct(), size)
+
+    # One block of each class, the largest.
+    sizes = inside.groupBy("id").agg(F.count("*").alias("size"))
+    chosen = inside.join(sizes, "id").groupBy("fp").agg(F.max(F.struct("size", "id")).alias("m"))
+    chosen = stored(chosen.select(F.col("m.id").alias("id")).distinct(), "chosen")
+    first = inside.join(chosen, "id", "left_semi").select("id", "side", "fp", F.col("fp").alias("label"))
+    found = compare(first, texts, size, percent)
+    labels = components(found)
+
+    rest = labelled(inside.join(chosen, "id", "left_anti"), labels)
+    mixed = rest.groupBy("id").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l != h").select("id")
+    more = compare(rest.join(mixed, "id", "left_semi"), texts, size, percent)
+    found = found.unionByName(more)
+    labels = components(found)
+
+    across = sift(block_pairs(blocks, labels, percent), maps, percent)
+    apart = live_texts(docs, classes, across.select("fp").distinct().join(inside.select("fp").distinct(), "fp", "left_anti"), size)
+    last = compare(labelled(across, labels), texts.unionByName(apart), size, percent)
+    return components(found.unionByName(last))
 
 
 def join(docs: DataFrame, size: int = WORDS, percent: int = PERCENT, share: float = FREQUENT) -> DataFrame:
