@@ -18,6 +18,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -97,10 +98,12 @@ def count_tokens(docs: DataFrame, path: str, share: float = SHARE, limit: int =
     known = spark.sparkContext.broadcast(frequent_counts(docs, text, path, share))
 
     def split(batches: Iterator[dict]) -> Iterator[dict]:
-        table = known.value
+        """One row with what is known of each text, and one for each of its rare pre-tokens."""
+        table, row = known.value, TaskContext.get().partitionId() << 33
         for batch in batches:
-            sums, sizes, rare, times = [], [], [], []
-            for value in batch["text"]:
+            keys, first = batch["doc_id"].to_pylist(), row
+            rows, tokens, times, ids, sizes = [], [], [], [], []
+            for key, value in zip(keys, batch["text"]):
                 content = value.as_py()
                 total, rest = 0, []
                 for token in pre_tokens(content):
@@ -110,38 +113,36 @@ def count_tokens(docs: DataFrame, path: str, share: float = SHARE, limit: int =
                     else:
                         total += n
                 found = Counter(rest)
-                sums.append(total)
+                rows += [row] * (len(found) + 1)
+                tokens.append(None)
+                tokens += found
+                times.append(total)
+                times += found.values()
+                ids.append(key)
+                ids += [None] * len(found)
                 sizes.append(len(content.encode("utf-8")))
-                rare.append(list(found))
-                times.append(list(found.values()))
-            yield {"doc_id": batch["doc_id"], "n_bytes": sizes, "known": sums, "rare": rare, "times": times}
-
-    # Written once: rows get a number of their own, so that repeated ids stay apart.
-    parts = map_batches(
-        docs.select("doc_id", text.alias("text")),
-        "doc_id long, n_bytes long, known long, rare array<string>, times array<long>",
-        split,
-    )
-    parts = stored(parts.withColumn("row", F.monotonically_increasing_id()), "frequencies")
-    rest = parts.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r"))
-    rest = rest.select("row", F.col("r.rare").alias("token"), F.col("r.times").alias("times"))
-    rest = rest.repartition("token").sortWithinPartitions("token")
+                sizes += [None] * len(found)
+                row += 1
+            if row > first:
+                yield {"row": rows, "token": tokens, "times": times, "doc_id": ids, "n_bytes": sizes}
+
+    # A row of its own for each text keeps repeated ids apart; its number does not depend on when the task runs.
+    parts = map_batches(docs.select("doc_id", text.alias("text")), "row long, token string, times long, doc_id long, n_bytes long", split)
+    dealt = parts.repartition(F.coalesce("token", F.col("row").cast("string"))).sortWithinPartitions("token")
 
     def measure(batches: Iterator[dict]) -> Iterator[dict]:
         count, last, size = piece_counter(path), None, 0
         for batch in batches:
             tokens = batch["token"].to_pylist()
-            fresh = list(dict.fromkeys(t for t in tokens if t != last))
+            fresh = list(dict.fromkeys(t for t in tokens if t is not None and t != last))
             sizes = dict(zip(fresh, count(fresh)))
-            if last is not None:
-                sizes.setdefault(last, size)
-            last, size = tokens[-1], sizes[tokens[-1]]
-            yield {"row": batch["row"], "n": [sizes[t] * k for t, k in zip(tokens, batch["times"].to_pylist())]}
-
-    counted = map_batches(rest, "row long, n long", measure).groupBy("row").agg(F.sum("n").alias("rest"))
-    tokens = F.col("known") + F.coalesce(F.col("rest"), F.lit(0))
-    return (
-        parts.drop("rare", "times")
-        .join(counted, "row", "left")
-        .select("doc_id", "n_bytes", tokens.alias("n_tokens"), (tokens > limit).alias("over_limit"))
-    )
+            sizes.setdefault(last, size)
+            sizes[None] = 1
+            if tokens:
+                last, size = tokens[-1], sizes[tokens[-1]]
+            n = [sizes[t] * k for t, k in zip(tokens, batch["times"].to_pylist())]
+            yield {"row": batch["row"], "n": n, "doc_id": batch["doc_id"], "n_bytes": batch["n_bytes"]}
+
+    counted = map_batches(dealt, "row long, n long, doc_id long, n_bytes long", measure)
+    sums = counted.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"), F.sum("n").alias("n_tokens"))
+    return sums.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
