@@ -13,8 +13,9 @@
    overlap is too small for a link, or when all below it is one component already.
    This first runs on bitmaps alone; classes that are left without a partner drop out.
 4. The classes that remain are compared exactly, walking the trees again. First each class
-   is compared in its largest block, which joins large groups of near copies. Then all
-   other blocks, and pairs of blocks of one shingle, that hold more than one component are.
+   meets those that share its largest block with it, which joins large groups of near copies.
+   Then all blocks, and pairs of blocks of one shingle, that still hold more than one component
+   are walked, and the pairs left between components are compared.
 
 Shingles are compared by 64-bit hashes and sets by 128-bit hashes. No block,
 partner or candidate is capped.
@@ -368,6 +369,10 @@ def groups_of(batches: Iterator[dict], names: list[str]) -> Iterator[list[list[t
                 if held:
                     yield [list({m[0]: m for m in held[s]}.values()) for s in sorted(held)]
                 last, held = at, {}
+            elif side and len(held.get(side, ())) > LONGEST_BLOCK:
+                # Members of the second side meet only the first, so they may do it in turns.
+                yield [list({m[0]: m for m in held[s]}.values()) for s in sorted(held)]
+                held[side] = []
             held.setdefault(side, []).append(tuple(member))
     if held:
         yield [list({m[0]: m for m in held[s]}.values()) for s in sorted(held)]
@@ -405,6 +410,28 @@ def sift(members: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
     return stored(sides.select("id", "side", F.explode("fps").alias("fp")), "sifted")
 
 
+def open_links(members: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """Written once: groups (id, side, fp, label) of a class and the partners that the trees leave it in other components.
+
+    Only groups of more than one component are walked. A pair found in several groups is kept once, under its smaller class.
+    """
+    mixed = members.groupBy("id").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l != h").select("id")
+    rows = members.join(mixed, "id", "left_semi").join(maps, "fp").select("id", "side", "fp", "label", "n", "map")
+
+    def run(batches: Iterator[dict]) -> Iterator[dict]:
+        for groups in groups_of(batches, ["fp", "label", "n", "map"]):
+            own = [m for g in groups for m in g]
+            i, j, _ = open_pairs(groups, percent)
+            ends = [sorted((own[a][:2], own[b][:2])) for a, b in zip(i.tolist(), j.tolist())]
+            if ends:
+                yield {"a": [e[0][0] for e in ends], "la": [e[0][1] for e in ends], "b": [e[1][0] for e in ends], "lb": [e[1][1] for e in ends]}
+
+    pairs = map_batches(by_group(rows), "a binary, la binary, b binary, lb binary", run).dropDuplicates(["a", "b"])
+    pairs = stored(pairs, "open")
+    heads = pairs.select(F.col("a").alias("id"), F.lit(0).alias("side"), F.col("a").alias("fp"), F.col("la").alias("label")).distinct()
+    return heads.unionByName(pairs.select(F.col("a").alias("id"), F.lit(1).alias("side"), F.col("b").alias("fp"), F.col("lb").alias("label")))
+
+
 def compare(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Written once: links (a, b) between the classes of each group of `members` (id, side, fp, label).
 
@@ -484,23 +511,21 @@ def link_components(docs: DataFrame, classes: DataFrame, size: int, percent: int
     inside = sift(inside.select("id", "side", "fp", F.col("fp").alias("label")), maps, percent)
     texts = live_texts(docs, classes, inside.select("fp").distinct(), size)
 
-    # One block of each class, the largest.
+    # First each class meets those that share its largest block with it: one text of each class travels.
     sizes = inside.groupBy("id").agg(F.count("*").alias("size"))
     chosen = inside.join(sizes, "id").groupBy("fp").agg(F.max(F.struct("size", "id")).alias("m"))
-    chosen = stored(chosen.select(F.col("m.id").alias("id")).distinct(), "chosen")
-    first = inside.join(chosen, "id", "left_semi").select("id", "side", "fp", F.col("fp").alias("label"))
+    first = chosen.select(F.col("m.id").alias("id"), F.lit(0).alias("side"), "fp", F.col("fp").alias("label"))
     found = compare(first, texts, size, percent)
     labels = components(found)
 
-    rest = labelled(inside.join(chosen, "id", "left_anti"), labels)
-    mixed = rest.groupBy("id").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l != h").select("id")
-    more = compare(rest.join(mixed, "id", "left_semi"), texts, size, percent)
+    # Then the pairs that the trees leave open between components, each once.
+    more = compare(open_links(labelled(inside, labels), maps, percent), texts, size, percent)
     found = found.unionByName(more)
     labels = components(found)
 
     across = sift(block_pairs(blocks, labels, percent), maps, percent)
     apart = live_texts(docs, classes, across.select("fp").distinct().join(inside.select("fp").distinct(), "fp", "left_anti"), size)
-    last = compare(labelled(across, labels), texts.unionByName(apart), size, percent)
+    last = compare(open_links(labelled(across, labels), maps, percent), texts.unionByName(apart), size, percent)
     return components(found.unionByName(last))
 
 
