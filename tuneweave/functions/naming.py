@@ -151,7 +151,8 @@ def base_name(path: Column) -> Column:
 
 def resume_candidates(requested: Column, default_path: Column, cwd: str) -> Column:
     """Paths to try for a resume request, in order, without repeats; null for no request."""
-    path = slash_path(requested)
+    # Parts that only say "here" go first.
+    path = F.regexp_replace(slash_path(requested), r"(\A|/)(?:\./)+", "$1")
     first = F.element_at(F.split(path, "/"), 1)
     default_parent = parent_path(default_path)
     below = (

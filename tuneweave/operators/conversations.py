@@ -1,9 +1,9 @@
 """Chat turns to conversations and rendered training texts.
 
 Input rows are `conv_id, turn, role, text`; `turn` is the position from 0 and
-unique in its conversation. A conversation longer than `TURNS_PER_ROW` turns
-continues in further rows numbered by `segment`, so no group is ever larger
-than that, and a conversation of any length is spread over many tasks.
+unique in its conversation. One row comes out for each conversation, whole
+whatever its length: a row is what the caller asks for, so a conversation
+must fit into a task's memory.
 """
 
 from __future__ import annotations
@@ -15,19 +15,11 @@ from pyspark.sql import functions as F
 from ..functions.chat import render_piece
 from ..functions.text import cutoff, token_count
 
-TURNS_PER_ROW = 1024
 
-
-def _segment(turns_per_row: int) -> Column:
-    return F.expr(f"turn div {turns_per_row}").alias("segment")
-
-
-def assemble_conversations(turns: DataFrame, turns_per_row: int = TURNS_PER_ROW) -> DataFrame:
-    """`conv_id, segment, messages`, messages in turn order."""
+def assemble_conversations(turns: DataFrame) -> DataFrame:
+    """`conv_id, messages`, messages in turn order."""
     turn = F.struct("turn", "role", F.col("text").alias("content"))
-    return turns.groupBy("conv_id", _segment(turns_per_row)).agg(
-        F.array_sort(F.collect_list(turn)).alias("messages")
-    )
+    return turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("messages"))
 
 
 def _joined(pieces: str) -> Column:
@@ -39,12 +31,11 @@ def render_conversations(
     template: str | Column,
     eos: str = "",
     bos: str = "",
-    turns_per_row: int = TURNS_PER_ROW,
 ) -> DataFrame:
-    """`conv_id, segment, text`; each turn is rendered before the shuffle."""
+    """`conv_id, text`; each turn is rendered before the shuffle."""
     piece = render_piece(template, F.col("role"), F.col("text"), F.col("turn"), eos, bos)
     pieces = turns.select("conv_id", "turn", F.struct("turn", piece.alias("piece")).alias("p"))
-    return pieces.groupBy("conv_id", _segment(turns_per_row)).agg(_joined("p").alias("text"))
+    return pieces.groupBy("conv_id").agg(_joined("p").alias("text"))
 
 
 def conversation_texts(

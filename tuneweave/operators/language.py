@@ -9,13 +9,11 @@ in the task that reads the text; what is shuffled is one row per text.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 # Fixed value: the code for texts without any known trigram.
 UNKNOWN = "unknown"
 
-GRAMS_PER_LANGUAGE = 400
 WEIGHT_SCALE = 1000
 RARITY = 100_000
 
@@ -32,12 +30,12 @@ def trigrams(padded: Column) -> Column:
 
 
 def language_profile(
-    corpus: DataFrame, languages: list[str], text: str = "text", lang: str = "lang", top: int = GRAMS_PER_LANGUAGE
+    corpus: DataFrame, languages: list[str], text: str = "text", lang: str = "lang"
 ) -> DataFrame:
     """One row per trigram with a weight column per language.
 
-    At most `len(languages) * top` rows, whatever the corpus. Words are counted
-    first, so trigrams are cut from distinct words only.
+    All trigrams count. Words are counted first, so trigrams are cut from
+    distinct words only.
     """
     labelled = corpus.where(F.col(lang).isin(languages))
     spelled = labelled.select(lang, F.explode(F.split(words(F.col(text)), "_")).alias("word"))
@@ -46,10 +44,8 @@ def language_profile(
     grams = counted.select(lang, "n", F.explode(trigrams(padded)).alias("gram"))
     counts = grams.groupBy(lang, "gram").agg(F.sum("n").alias("n"))
     totals = counts.groupBy(lang).agg(F.sum("n").alias("total"))
-    rank = F.row_number().over(W.partitionBy(lang).orderBy(F.desc("n"), "gram"))
-    ranked = counts.withColumn("_rank", rank).where(F.col("_rank") <= top)
     weight = F.round(WEIGHT_SCALE * F.log(1 + F.col("n") * F.lit(float(RARITY)) / F.col("total"))).cast("long")
-    weighted = ranked.join(F.broadcast(totals), lang).select("gram", lang, weight.alias("w"))
+    weighted = counts.join(F.broadcast(totals), lang).select("gram", lang, weight.alias("w"))
     return weighted.groupBy("gram").agg(
         *[F.coalesce(F.sum(F.when(F.col(lang) == code, F.col("w"))), F.lit(0)).alias(f"w_{code}") for code in languages]
     )
@@ -60,7 +56,7 @@ def detect_language(
 ) -> DataFrame:
     """`keys, language`; ties go to the first code in order, texts without a hit are `unknown`."""
     grams = df.select(*keys, F.explode_outer(trigrams(words(F.col(text)))).alias("gram"))
-    scored = grams.join(F.broadcast(profile), "gram", "left")
+    scored = grams.join(profile, "gram", "left")
     sums = scored.groupBy(*keys).agg(*[F.sum(f"w_{code}").alias(f"w_{code}") for code in languages])
     best = F.greatest(*[F.coalesce(F.col(f"w_{code}"), F.lit(0)) for code in languages])
     chosen = F.lit(UNKNOWN)

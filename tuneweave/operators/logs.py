@@ -84,7 +84,7 @@ def read_records(lines: DataFrame, per_block: int = LINES_PER_BLOCK, per_row: in
     """`source, record, segment, ts, level, logger, message`.
 
     A record longer than `per_row` lines goes on in rows with higher
-    `segment`, whose message is the text that follows.
+    `segment`, whose message is the text that follows; they carry the header's fields too.
     """
     stitched = stitch_records(lines, per_block, per_row).where(F.col("record").isNotNull())
     line = F.struct("line_no", "value")
@@ -92,13 +92,19 @@ def read_records(lines: DataFrame, per_block: int = LINES_PER_BLOCK, per_row: in
     grouped = stitched.groupBy("source", "record", "segment").agg(text.alias("_text"))
     ts, level, logger, message = record_fields(F.col("_text"))
     more = F.col("segment") > 0
+    # One row for each `per_row` lines of a record, so these windows stay small.
+    record = W.partitionBy("source", "record").orderBy("segment").rowsBetween(W.unboundedPreceding, 0)
+
+    def header(field: Column, name: str) -> Column:
+        return F.first(F.when(~more, field), ignorenulls=True).over(record).alias(name)
+
     return grouped.select(
         "source",
         "record",
         "segment",
-        ts,
-        F.when(~more, level).alias("level"),
-        F.when(~more, logger).alias("logger"),
+        header(ts, "ts"),
+        header(level, "level"),
+        header(logger, "logger"),
         F.when(more, F.col("_text")).otherwise(message).alias("message"),
     )
 

@@ -100,7 +100,7 @@ def conversations(spark, folder):
     rows = chat.assemble_conversations(turns(spark, folder))
     lines = F.transform("messages", lambda m: F.concat(m["role"], F.lit(": "), m["content"]))
     return rows.select(
-        "conv_id", "segment", F.size("messages").cast("long").alias("n_turns"), F.array_join(lines, "\n").alias("transcript")
+        "conv_id", F.size("messages").cast("long").alias("n_turns"), F.array_join(lines, "\n").alias("transcript")
     )
 
 
@@ -346,13 +346,13 @@ ORACLE = {
       <= ceil(count(*) over () * {TEST_SIZE}::double) then 'validation' else 'train' end as split from documents""",
     "split_counts": f"select {sql_split('doc_id')} as split, count(*) as n_rows from documents group by 1",
     "preprocess_summary": SQL_SUMMARY,
-    "assemble_conversations": """select conv_id, turn // 1024 as segment, count(*) as n_turns,
-      string_agg(role || ': ' || text, chr(10) order by turn) as transcript from conversations group by 1, 2""",
-    "render_qwen": f"""select conv_id, turn // 1024 as segment,
-      string_agg({sql_qwen('role', 'text', 'turn')}, '' order by turn) as text from conversations group by 1, 2""",
-    "render_fallback": f"""select conv_id, turn // 1024 as segment,
-      string_agg({sql_fallback('role', 'text', 'turn', '', '<s>')}, '' order by turn) as text from conversations group by 1, 2""",
-    "select_template": f"""select conv_id, turn // 1024 as segment, {SQL_TEMPLATE} as template,
+    "assemble_conversations": """select conv_id, count(*) as n_turns,
+      string_agg(role || ': ' || text, chr(10) order by turn) as transcript from conversations group by 1""",
+    "render_qwen": f"""select conv_id,
+      string_agg({sql_qwen('role', 'text', 'turn')}, '' order by turn) as text from conversations group by 1""",
+    "render_fallback": f"""select conv_id,
+      string_agg({sql_fallback('role', 'text', 'turn', '', '<s>')}, '' order by turn) as text from conversations group by 1""",
+    "select_template": f"""select conv_id, {SQL_TEMPLATE} as template,
       string_agg(case when {SQL_TEMPLATE} = 'qwen' then {sql_qwen('role', 'text', 'turn')}
         else {sql_fallback('role', 'text', 'turn', EOS, '')} end, '' order by turn) as text
       from conversations group by 1, 2""",

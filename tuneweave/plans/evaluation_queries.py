@@ -125,10 +125,9 @@ def sql_detect(rows: str, keys: str, text: str) -> str:
         select lang, gram, count(*) as n from (
           select lang, unnest({sql_grams('text')}) as gram from documents where {sql_split('doc_id')} = 'train')
         group by all),
-      ranked as (select *, sum(n) over (partition by lang) as total,
-          row_number() over (partition by lang order by n desc, gram) as r from counts),
+      ranked as (select *, sum(n) over (partition by lang) as total from counts),
       weights as (select gram, lang, round(1000 * ln(1 + n * 100000.0::double / total))::bigint as w
-        from ranked where r <= 400),
+        from ranked),
       hits as (select {keys}, unnest({sql_grams(text)}) as gram from ({rows})),
       sums as (select {keys}, {sums} from hits join weights using (gram) group by all)
       select {keys}, case when {best} = 0 then 'unknown' {cases} end as language from sums)"""
