@@ -213,8 +213,8 @@ def test_metrics(spark):
     assert math.isnan(summary["r1"].train_loss) and math.isnan(summary["r2"].train_loss)
     assert (summary["r1"].eval_loss, summary["r1"].epochs, summary["r1"].total_tokens) == (0.001, 3.0, 900)
     assert (summary["r2"].eval_loss, summary["r2"].total_tokens) == (None, None)
-    latest = {(r.source, r.tag): (r.step, r.value) for r in metrics.metric_latest(scalars).collect()}
-    assert latest["r1", "loss"] == (2, 0.25)
+    latest = {(r.source, r.kind, r.tag): (r.step, r.value) for r in metrics.metric_latest(scalars).collect()}
+    assert latest["r1", "TRAIN_METRICS", "loss"] == (2, 0.25)
 
 
 def test_streams_equal_batches(spark, tmp_path):

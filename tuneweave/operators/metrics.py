@@ -27,7 +27,8 @@ def _payload(text: Column) -> Column:
 def metric_events(lines: DataFrame, value: str = "value", step_key: str = "step") -> DataFrame:
     """`<other columns>, kind, step, tag, raw`: one row per tag of every metric record.
 
-    The step is the payload's own `step_key` entry.
+    The step is the payload's own `step_key` entry, null where it has none. What
+    is last in a run is decided by the position of the line, not by the step.
     """
     others = [c for c in lines.columns if c != value]
     parsed = lines.where(F.col(value).contains("_METRICS: {")).select(
@@ -60,19 +61,29 @@ def metric_scalars(events: DataFrame) -> DataFrame:
     return scalars.where(F.col("value").isNotNull())
 
 
-def metric_latest(scalars: DataFrame, run: str = "source") -> DataFrame:
-    """The value at the highest step per run and tag."""
-    return scalars.groupBy(run, "tag").agg(
-        F.max("step").alias("step"), F.max_by("value", "step").alias("value"), F.count(F.lit(1)).alias("n_values")
-    )
+def latest_values(position: str) -> list[Column]:
+    """Position, step and value of the last record of a group, and the number of values; one record has a tag once."""
+    return [
+        F.max(position).alias(position),
+        F.max_by("step", position).alias("step"),
+        F.max_by("value", position).alias("value"),
+        F.count(F.lit(1)).alias("n_values"),
+    ]
+
+
+def metric_latest(scalars: DataFrame, run: str = "source", position: str = "line_no") -> DataFrame:
+    """The last value in the log per run, kind of record and tag."""
+    return scalars.groupBy(run, "kind", "tag").agg(*latest_values(position))
 
 
-def training_summary(scalars: DataFrame, default_epochs: float, run: str = "source") -> DataFrame:
+def training_summary(
+    scalars: DataFrame, default_epochs: float, run: str = "source", position: str = "line_no"
+) -> DataFrame:
     """The last reported figures per run; a run without a train loss gets NaN."""
 
     def last(kind: str, tag: str) -> Column:
         here = (F.col("kind") == kind) & (F.col("tag") == tag)
-        return F.max_by(F.when(here, F.col("value")), F.when(here, F.col("step")))
+        return F.max_by(F.when(here, F.col("value")), F.when(here, F.col(position)))
 
     train, final_eval = "FINAL_TRAIN_METRICS", "FINAL_EVAL_METRICS"
     return scalars.groupBy(run).agg(

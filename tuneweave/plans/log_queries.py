@@ -34,9 +34,9 @@ def log_lines(spark, folder) -> DataFrame:
         F.when(kind == "error", text("step %s failed after %s"))
         .when(kind == "purchase", text("checkpoint %s saved, size %s"))
         .when(kind == "click", text('TRAIN_METRICS: {"step": %s, "loss": %s, "note": "n/a"}'))
-        .when(kind == "view", text("TRAIN_METRICS: {'step': %s, 'loss': %s, 'grad': None, 'ok': True}"))
-        .when(F.col("event_id") % 2 == 0, text('FINAL_TRAIN_METRICS: {"step": %s, "train_loss": %s, "epoch": 3.0, "train_tokens": 512}'))
-        .otherwise(text('FINAL_EVAL_METRICS: {"step": %s, "eval_loss": %s}'))
+        .when(kind == "view", text("TRAIN_METRICS: {'loss': %2$s, 'grad': None, 'ok': True}"))
+        .when(F.col("event_id") % 2 == 0, text('FINAL_TRAIN_METRICS: {"train_loss": %2$s, "epoch": 3.0, "train_tokens": 512}'))
+        .otherwise(text('FINAL_EVAL_METRICS: {"eval_loss": %2$s}'))
     )
     stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
     record = F.concat(stamp, F.lit(" | "), F.rpad(level, F.lit(8), F.lit(" ")), F.lit(" | train | "), message)
@@ -109,7 +109,7 @@ def settings(spark, folder):
 
 
 def metric_rows(spark, folder):
-    return metrics.metric_events(log_lines(spark, folder)).drop("line_no")
+    return metrics.metric_events(log_lines(spark, folder))
 
 
 def scalars(spark, folder):
@@ -143,7 +143,7 @@ def stream_scalars(spark, folder):
     _, stream = _landed(spark, folder)
     out, state = scratch_path(spark, "series"), scratch_path(spark, "series-state")
     jobs.append(stream, out, state, jobs.scalars).awaitTermination()
-    return spark.read.parquet(out).drop("line_no")
+    return spark.read.parquet(out)
 
 
 def stream_latest(spark, folder):
@@ -188,10 +188,10 @@ SQL_MESSAGE = """case event_type
   when 'error' then format('step {} failed after {}', event_id, value)
   when 'purchase' then format('checkpoint {} saved, size {}', event_id, value)
   when 'click' then format('TRAIN_METRICS: {{"step": {}, "loss": {}, "note": "n/a"}}', event_id, value)
-  when 'view' then format('TRAIN_METRICS: {{''step'': {}, ''loss'': {}, ''grad'': None, ''ok'': True}}', event_id, value)
+  when 'view' then format('TRAIN_METRICS: {{''loss'': {}, ''grad'': None, ''ok'': True}}', value)
   else case when event_id % 2 = 0
-    then format('FINAL_TRAIN_METRICS: {{"step": {}, "train_loss": {}, "epoch": 3.0, "train_tokens": 512}}', event_id, value)
-    else format('FINAL_EVAL_METRICS: {{"step": {}, "eval_loss": {}}}', event_id, value) end end"""
+    then format('FINAL_TRAIN_METRICS: {{"train_loss": {}, "epoch": 3.0, "train_tokens": 512}}', value)
+    else format('FINAL_EVAL_METRICS: {{"eval_loss": {}}}', value) end end"""
 SQL_STAMP = "strftime(ts, '%Y-%m-%d %H:%M:%S')"
 SQL_RECORD = f"{SQL_STAMP} || ' | ' || rpad({SQL_LEVEL}, 8, ' ') || ' | train | ' || {SQL_MESSAGE}"
 SQL_TRACE = "['Traceback (most recent call last):', '  ValueError: ' || value]"
@@ -199,7 +199,8 @@ SQL_LINES = f"""select source, event_id * 4 + i as line_no, lines[i + 1] as valu
     select 'run-' || user_id as source, event_id, unnest(range(len(lines))) as i, lines from (
       select *, case when event_type = 'error' then list_concat([{SQL_RECORD}], {SQL_TRACE}) else [{SQL_RECORD}] end as lines
       from (select * replace (value::varchar as value) from events)))"""
-SQL_METRICS = """select 'run-' || user_id as source, kind, event_id as step, tag, raw from (
+SQL_METRICS = """select 'run-' || user_id as source, event_id * 4 as line_no, kind,
+    case when event_type = 'click' then event_id end as step, tag, raw from (
     select *, 'TRAIN_METRICS' as kind, 'loss' as tag, value::varchar as raw from events where event_type in ('click', 'view')
     union all select *, 'TRAIN_METRICS', 'note', 'n/a' from events where event_type = 'click'
     union all select *, 'TRAIN_METRICS', 'grad', null from events where event_type = 'view'
@@ -208,10 +209,10 @@ SQL_METRICS = """select 'run-' || user_id as source, kind, event_id as step, tag
     union all select *, 'FINAL_TRAIN_METRICS', 'epoch', '3.0' from events where event_type = 'signup' and event_id % 2 = 0
     union all select *, 'FINAL_TRAIN_METRICS', 'train_tokens', '512' from events where event_type = 'signup' and event_id % 2 = 0
     union all select *, 'FINAL_EVAL_METRICS', 'eval_loss', value::varchar from events where event_type = 'signup' and event_id % 2 = 1)"""
-SQL_SCALARS = f"""select source, kind, step, tag, case raw when 'true' then 1.0::double else try_cast(raw as double) end as value
+SQL_SCALARS = f"""select source, line_no, kind, step, tag, case raw when 'true' then 1.0::double else try_cast(raw as double) end as value
   from ({SQL_METRICS}) where raw is not null and raw <> 'n/a'"""
-SQL_LATEST = f"""select source, tag, max(step) as step, max_by(value, step) as value, count(*) as n_values
-  from ({SQL_SCALARS}) group by 1, 2"""
+SQL_LATEST = f"""select source, kind, tag, max(line_no) as line_no, arg_max_null(step, line_no) as step,
+  max_by(value, line_no) as value, count(*) as n_values from ({SQL_SCALARS}) group by 1, 2, 3"""
 SQL_PROBE = """select user_id as source, event_id as line_no, case event_id % 4 when 0 then '== banner ' || word
     when 1 then word || '=x' when 2 then lower(word) else word end as value
   from (select *, upper(event_type) || '=' || event_id as word from events)"""
@@ -240,10 +241,10 @@ ORACLE = {
     "write_scalars": SQL_SCALARS,
     "metric_latest": SQL_LATEST,
     "training_summary": f"""select source,
-        coalesce(max_by(value, step) filter (kind = 'FINAL_TRAIN_METRICS' and tag = 'train_loss'), -1.0) as train_loss,
-        max_by(value, step) filter (kind = 'FINAL_EVAL_METRICS' and tag = 'eval_loss') as eval_loss,
-        coalesce(max_by(value, step) filter (kind = 'FINAL_TRAIN_METRICS' and tag = 'epoch'), 1.0) as epochs,
-        (max_by(value, step) filter (kind = 'FINAL_TRAIN_METRICS' and tag = 'train_tokens'))::bigint as total_tokens
+        coalesce(max_by(value, line_no) filter (kind = 'FINAL_TRAIN_METRICS' and tag = 'train_loss'), -1.0) as train_loss,
+        max_by(value, line_no) filter (kind = 'FINAL_EVAL_METRICS' and tag = 'eval_loss') as eval_loss,
+        coalesce(max_by(value, line_no) filter (kind = 'FINAL_TRAIN_METRICS' and tag = 'epoch'), 1.0) as epochs,
+        (max_by(value, line_no) filter (kind = 'FINAL_TRAIN_METRICS' and tag = 'train_tokens'))::bigint as total_tokens
       from ({SQL_SCALARS}) group by 1""",
     "stream_metric_scalars": SQL_SCALARS,
     "stream_metric_latest": SQL_LATEST,

@@ -23,7 +23,9 @@ def write_scalars(df: DataFrame, path: str, run: str = "source") -> None:
     """Scalar series sorted by run, tag and step, so that a reader of one run skips the rest by file statistics.
 
     One folder per run would mean as many files as runs. A very long series is
-    cut by step range: no run has to fit one task.
+    cut by step range: no run has to fit one task. Records without a step go by
+    their position `line_no`, if there is one.
     """
-    pieces = df.repartition(run, F.expr("step div 1000000"))
-    pieces.sortWithinPartitions(run, "tag", "step").write.mode("overwrite").parquet(path)
+    place = F.coalesce("step", "line_no") if "line_no" in df.columns else F.col("step")
+    pieces = df.repartition(run, (place / 1000000).cast("long"))
+    pieces.sortWithinPartitions(run, "tag", place).write.mode("overwrite").parquet(path)

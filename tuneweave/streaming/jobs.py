@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.logs import route
-from ..operators.metrics import metric_events, metric_scalars
+from ..operators.metrics import latest_values, metric_events, metric_scalars
 
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -72,11 +72,11 @@ def write_routed(lines: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     )
 
 
-def write_latest(stream: DataFrame, out: str, checkpoint: str, run: str = "source") -> StreamingQuery:
-    """Latest value per run and tag, kept in the state store; each batch writes the groups it changed."""
-    latest = stream.groupBy(run, "tag").agg(
-        F.max("step").alias("step"), F.max_by("value", "step").alias("value"), F.count(F.lit(1)).alias("n_values")
-    )
+def write_latest(
+    stream: DataFrame, out: str, checkpoint: str, run: str = "source", position: str = "line_no"
+) -> StreamingQuery:
+    """Last value per run, kind and tag, kept in the state store; each batch writes the groups it changed."""
+    latest = stream.groupBy(run, "kind", "tag").agg(*latest_values(position))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
@@ -90,7 +90,7 @@ def write_latest(stream: DataFrame, out: str, checkpoint: str, run: str = "sourc
     )
 
 
-def read_latest(spark: SparkSession, out: str, run: str = "source") -> DataFrame:
+def read_latest(spark: SparkSession, out: str, run: str = "source", position: str = "line_no") -> DataFrame:
     """The state after the last batch that touched each group."""
-    last = F.max_by(F.struct("step", "value", "n_values"), "batch_id").alias("s")
-    return spark.read.parquet(out).groupBy(run, "tag").agg(last).select(run, "tag", "s.*")
+    last = F.max_by(F.struct(position, "step", "value", "n_values"), "batch_id").alias("s")
+    return spark.read.parquet(out).groupBy(run, "kind", "tag").agg(last).select(run, "kind", "tag", "s.*")
