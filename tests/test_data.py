@@ -257,3 +257,23 @@ def test_plugged_tokenizer(spark):
     for key in sorted((1, 2), key=lambda k: order("pack", k)):
         stream += Characters().encode(rows[key - 1][3]) + [0]
     assert [t for b in blocks for t in b.tokens] == stream[: len(stream) // 10 * 10]
+
+
+def test_blocks_cut_one_long_document_whole(spark):
+    words = [f"w{i}" for i in range(5000)]
+    rows = spark.createDataFrame([(1, " ".join(words)), (2, None), (3, "")], "id long, text string")
+    blocks = packing.pack_blocks(rows, 100, "id", 3).orderBy("chunk_id").collect()
+    got = [t for b in blocks for t in b.tokens if t != "<eos>"]
+    assert len(blocks) == 50 and all(b.n_tokens == 100 for b in blocks)
+    assert got == words[: len(got)] and len(got) >= 4998
+    stats = packing.pack_stats(rows, 100, "id", seed=3).first()
+    assert (stats.n_docs, stats.n_tokens, stats.n_blocks, stats.dropped_tokens) == (3, 5002, 50, 2)
+
+
+def test_unigram_scores_count_repeats_and_unseen_tokens(spark):
+    vocab = scoring.vocabulary(spark.createDataFrame([("a a a b",)], "text string"))
+    rows = spark.createDataFrame([(i, "x new new a new") for i in range(40)] + [(99, "one"), (100, "")], "id long, text string")
+    got = {r.id: (r.n_tokens, r.loss) for r in scoring.unigram_scores(rows, vocab, "id").collect()}
+    new, a = math.log(7) - math.log(1), math.log(7) - math.log(4)
+    assert set(got) == {*range(40), 99} and got[99] == (1, None)
+    assert all(got[i][0] == 5 and abs(got[i][1] - (3 * new + a) / 4) < 1e-9 for i in range(40))

@@ -64,6 +64,24 @@ def test_strict_load_names_file_and_line(spark, tmp_path):
     assert [(r.line_no, r.value) for r in jsonl.load_rejects(spark, str(tmp_path)).collect()] == [(2, '{"x":1}')]
 
 
+def test_strict_load_wants_its_splits(spark, tmp_path):
+    (tmp_path / "split=train").mkdir()
+    (tmp_path / "split=train" / "part-0.json").write_text('{"text":"a"}\n')
+    with pytest.raises(ValueError, match="no records of split validation"):
+        jsonl.load_strict(spark, str(tmp_path), jsonl.REQUIRED_SPLITS)
+    (tmp_path / "validation.jsonl").write_text('{"text":"b"}\n')
+    assert {r.text for r in jsonl.load_strict(spark, str(tmp_path), jsonl.REQUIRED_SPLITS).collect()} == {"a", "b"}
+
+
+def test_malformed_lines_fail_lenient_loads(spark, tmp_path):
+    (tmp_path / "val.jsonl").write_text('{"text":"a"}\n{cut\n')
+    for load in (jsonl.load_validation, lambda s, p: calibration.load_calibration(s, p, ".jsonl")):
+        with pytest.raises(Exception):
+            load(spark, str(tmp_path)).collect()
+    (tmp_path / "val.jsonl").write_text('{"text":"a"}\n{"text":1}\n')
+    assert [r.text for r in jsonl.load_validation(spark, str(tmp_path)).collect()] == ["a"]
+
+
 def test_lenient_load_and_missing_splits(spark, tmp_path):
     (tmp_path / "val.jsonl").write_text('{"text":"a"}\n{"text":""}\n{"x":1}\n{"text":" "}\n')
     assert {r.text for r in jsonl.load_validation(spark, str(tmp_path)).collect()} == {"a", " "}

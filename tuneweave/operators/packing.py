@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import token_count, tokens
 from ..params import TrainLayout
-from .ordering import BEFORE, BUCKET, HASH, TOTAL, bucket_offsets, running_start, with_order
+from ..session import stored
+from .ordering import BEFORE, BUCKET, TOTAL, bucket_offsets, running_start, with_order
 
 
 # Offsets have at most 65,536 rows per epoch; up to here they are broadcast, beyond it
@@ -15,39 +16,40 @@ from .ordering import BEFORE, BUCKET, HASH, TOTAL, bucket_offsets, running_start
 BROADCAST_EPOCHS = 16
 
 
-def _placed(df: DataFrame, key: str, length: Column, seed: int, block: int, carry: list[str]) -> DataFrame:
-    """One row per (document, block) overlap, blocks complete only.
+def _lengths(df: DataFrame, key: str, size: Column) -> DataFrame:
+    """Written once: the key and `_n`, the tokens of each document and one end token. No later pass counts tokens."""
+    return stored(df.select(key, (size + 1).cast("long").alias("_n")), "lengths")
 
-    Every document is followed by one end token. Token positions are global:
-    the document starts where the ones before it in seeded order end.
+
+def _placed(lengths: DataFrame, key: str, seed: int) -> DataFrame:
+    """`key, _n, _start, _end, _total`: where each document lies in the sequence of all tokens.
+
+    A document starts where the ones before it in seeded order end.
     """
-    ordered = with_order(df.select(key, *carry, length.alias("_n")), key, seed, "pack")
-    size = F.col("_n") + 1
-    offsets = bucket_offsets(ordered, size).select(BUCKET, BEFORE, TOTAL)
-    start = running_start(ordered, key, size)
-    placed = (
-        ordered.withColumn("_in_bucket", start)
+    ordered = with_order(lengths, key, seed, "pack")
+    offsets = bucket_offsets(ordered, F.col("_n")).select(BUCKET, BEFORE, TOTAL)
+    return (
+        ordered.withColumn("_in_bucket", running_start(ordered, key, F.col("_n")))
         .join(F.broadcast(offsets), BUCKET)
         .withColumn("_start", F.col(BEFORE) + F.col("_in_bucket"))
-        .withColumn("_end", F.col("_start") + size)
-    )
-    blocks = F.sequence(F.expr(f"_start div {block}"), F.expr(f"(_end - 1) div {block}"))
-    return (
-        placed.withColumn("chunk_id", F.explode(blocks))
-        .where(F.col("chunk_id") < F.expr(f"_total div {block}"))
-        .select(
-            "chunk_id",
-            key,
-            *carry,
-            (F.greatest("_start", F.col("chunk_id") * block) - F.col("_start")).alias("from_token"),
-            (F.least("_end", (F.col("chunk_id") + 1) * block) - F.col("_start")).alias("to_token"),
-            (F.greatest("_start", F.col("chunk_id") * block) - F.col("chunk_id") * block).alias("position"),
-        )
+        .select(key, "_n", "_start", (F.col("_start") + F.col("_n")).alias("_end"), TOTAL)
     )
 
 
-def _length(text: str, length: str | None) -> Column:
-    return F.col(length) if length else token_count(F.col(text))
+def _chunks(block: int) -> Column:
+    """The blocks that a placed document touches."""
+    return F.sequence(F.expr(f"_start div {block}"), F.expr(f"(_end - 1) div {block}"))
+
+
+def _slice(chunk: Column, block: int) -> tuple[Column, Column]:
+    """First token of a document in a block, and the one after its last."""
+    return F.greatest("_start", chunk * block) - F.col("_start"), F.least("_end", (chunk + 1) * block) - F.col("_start")
+
+
+def _size(text: str, length: str | None, ids: str | None = None) -> Column:
+    if length:
+        return F.col(length)
+    return F.size(ids) if ids else token_count(F.col(text))
 
 
 def pack_membership(
@@ -55,10 +57,16 @@ def pack_membership(
 ) -> DataFrame:
     """`chunk_id, key, from_token, to_token`: which tokens of which document fill which block.
 
-    `length` names a column of token counts, as prepared rows have; with it no text is read.
+    Only complete blocks count. `length` names a column of token counts, as prepared rows
+    have; with it no text is read, and without it the text is read once.
     """
-    placed = _placed(df, key, _length(text, length), seed, block, [])
-    return placed.select("chunk_id", key, "from_token", "to_token")
+    placed = _placed(_lengths(df, key, _size(text, length)), key, seed)
+    first, end = _slice(F.col("chunk_id"), block)
+    return (
+        placed.withColumn("chunk_id", F.explode(_chunks(block)))
+        .where(F.col("chunk_id") < F.expr(f"{TOTAL} div {block}"))
+        .select("chunk_id", key, first.alias("from_token"), end.alias("to_token"))
+    )
 
 
 def pack_blocks(
@@ -73,19 +81,29 @@ def pack_blocks(
 ) -> DataFrame:
     """The blocks themselves: `chunk_id, n_docs, n_tokens, tokens`.
 
-    Documents are cut into their slices before the shuffle by block, so a
-    group holds `block` tokens at most, however long a document is. With a
-    `length` column the pass that places the documents reads no text. `ids`
+    Documents are placed by their lengths alone. Then each is joined with its place, split into
+    tokens once and cut into all its slices, so work is linear in its length and a
+    group of the shuffle by block holds `block` tokens at most. `ids`
     names an array column of token ids to pack in place of words; `eos` is then an id.
     """
-    size = F.size(ids).cast("long") if ids and not length else _length(text, length)
-    placed = _placed(df, key, size, seed, block, [ids or text])
+    placed = _placed(_lengths(df, key, _size(text, length, ids)), key, seed)
     sequence = F.concat(F.col(ids) if ids else tokens(F.col(text)), F.array(F.lit(eos)))
-    cut = F.slice(sequence, (F.col("from_token") + 1).cast("int"), (F.col("to_token") - F.col("from_token")).cast("int"))
-    parts = placed.select("chunk_id", key, F.struct("position", cut.alias("tokens")).alias("part"))
+
+    def part(chunk: Column, all_tokens: Column) -> Column:
+        first, end = _slice(chunk, block)
+        cut = F.slice(all_tokens, (first + 1).cast("int"), (end - first).cast("int"))
+        position = F.greatest(F.col("_start"), chunk * block) - chunk * block
+        return F.struct(chunk.alias("chunk_id"), position.alias("position"), cut.alias("tokens"))
+
+    # The outer array of one binds the tokens to a name, so that they are not split again for each slice.
+    slices = F.flatten(F.transform(F.array(sequence), lambda t: F.transform(_chunks(block), lambda c: part(c, t))))
     return (
-        parts.groupBy("chunk_id")
-        .agg(F.array_sort(F.collect_list("part")).alias("parts"))
+        df.select(key, ids or text)
+        .join(placed, key)
+        .select(TOTAL, F.inline(slices))
+        .where(F.col("chunk_id") < F.expr(f"{TOTAL} div {block}"))
+        .groupBy("chunk_id")
+        .agg(F.array_sort(F.collect_list(F.struct("position", "tokens"))).alias("parts"))
         .select(
             "chunk_id",
             F.size("parts").cast("long").alias("n_docs"),
@@ -99,15 +117,21 @@ def pack_stats(
     df: DataFrame, block: int, key: str, text: str = "text", seed: int = 0, length: str | None = None
 ) -> DataFrame:
     """Blocks, tokens placed, tokens left over, and documents per block."""
-    lengths = df.select((_length(text, length) + 1).alias("_n")).agg(
-        F.count(F.lit(1)).alias("n_docs"), F.coalesce(F.sum("_n"), F.lit(0)).alias("n_tokens")
-    )
-    members = pack_membership(df, block, key, seed, text, length).agg(F.count(F.lit(1)).alias("n")).scalar()
+    placed = _placed(_lengths(df, key, _size(text, length)), key, seed)
+    last = F.least(F.expr(f"(_end - 1) div {block}"), F.expr(f"{TOTAL} div {block}") - 1)
+    touched = F.when(F.col("_n").isNotNull(), F.greatest(last - F.expr(f"_start div {block}") + 1, F.lit(0)))
+    members = F.coalesce(F.col("_members"), F.lit(0))
     return (
-        lengths.withColumn("n_blocks", F.expr(f"n_tokens div {block}"))
+        placed.agg(
+            F.count(F.lit(1)).alias("n_docs"),
+            F.coalesce(F.sum("_n"), F.lit(0)).alias("n_tokens"),
+            F.sum(touched).alias("_members"),
+        )
+        .withColumn("n_blocks", F.expr(f"n_tokens div {block}"))
         .withColumn("dropped_tokens", F.col("n_tokens") % block)
         .withColumn("fill", F.col("n_blocks") * block / F.nullif(F.col("n_tokens"), F.lit(0)))
         .withColumn("docs_per_block", members / F.nullif(F.col("n_blocks"), F.lit(0)))
+        .drop("_members")
     )
 
 

@@ -7,21 +7,23 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import split_label
 from ..functions.text import cutoff, token_count
+from ..session import stored
 from .ordering import BUCKET, TOTAL, before_cut, cut_points, with_order
 
 
 def sample_n(df: DataFrame, n: int | None, key: str, seed: int) -> DataFrame:
     """Exactly `min(n, rows)` rows in seeded order; `None` keeps all.
 
-    The keys alone give the cut points (two narrow scans); the rows themselves
-    are then filtered where they are, so no text is shuffled or sorted.
+    The keys are stored once, whatever filters lead to them, and alone give the cut points; the
+    rows themselves are then filtered where they are, so no text is shuffled or sorted.
     """
     if n is None:
         return df
     if n <= 0:
         raise ValueError("n must be positive")
     ordered = with_order(df, key, seed, "sample")
-    cuts = cut_points(ordered, key, F.lit(n))
+    keys = stored(df.select(key), "keys")
+    cuts = cut_points(with_order(keys, key, seed, "sample"), key, F.lit(n))
     kept = ordered.join(F.broadcast(cuts.select(BUCKET, "_last")), BUCKET).where(before_cut(key))
     return kept.select(*df.columns)
 

@@ -179,7 +179,7 @@ def json_lines(spark, folder, good_only: bool) -> DataFrame:
 def strict_load(spark, folder):
     out = scratch_path(spark, "strict")
     json_lines(spark, folder, True).select("value", "split").write.partitionBy("split").text(out)
-    rows = jsonl.load_strict(spark, out)
+    rows = jsonl.load_strict(spark, out, jsonl.REQUIRED_SPLITS)
     return rows.select(F.regexp_extract("file", "split=([^/]+)", 1).alias("split"), "text")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,9 +12,12 @@ from ..functions.text import is_blank, strip
 REQUIRED_SPLITS = ["train", "validation"]
 
 
-def raw_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of text files as `file, value`, with the file block and row id that place them."""
-    return spark.read.text(path).select(
+def raw_lines(spark: SparkSession, path: str, file: str | None = None) -> DataFrame:
+    """Lines of text files, or of one `file` of them, as `file, value`, with the file block and row id that place them."""
+    lines = spark.read.text(path)
+    if file is not None:
+        lines = lines.where(F.col("_metadata.file_path") == file)
+    return lines.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("_at"),
         F.monotonically_increasing_id().alias("_id"),
@@ -76,27 +81,43 @@ def rejected_records(checked: DataFrame) -> DataFrame:
     return checked.where(F.col("reason").isNotNull()).drop("text")
 
 
-def load_rejects(spark: SparkSession, path: str) -> DataFrame:
+def load_rejects(spark: SparkSession, path: str, file: str | None = None) -> DataFrame:
     """`file, line_no, value, reason` of bad records; good ones are not shuffled for it."""
-    raw = raw_lines(spark, path)
+    raw = raw_lines(spark, path, file)
     return with_line_numbers(rejected_records(check_records(raw)), raw)
 
 
-def load_strict(spark: SparkSession, path: str) -> DataFrame:
-    """`file, text` of all splits below `path`; a bad record is an error that names file and line.
+def split_of(file: Column) -> Column:
+    """The split a file belongs to: its `split=` folder, else its own name up to the first dot."""
+    folder = F.regexp_extract(file, "/split=([^/]+)/", 1)
+    return F.when(folder != "", folder).otherwise(F.regexp_extract(file, r"([^/.]+)[^/]*$", 1))
+
+
+def load_strict(spark: SparkSession, path: str, splits: Sequence[str] = ()) -> DataFrame:
+    """`file, text` of all files below `path`; a bad record is an error that names file and line, as is the lack of one of `splits`.
 
-    The check is a pass of its own that yields the first bad record of the
-    files, if any. The rows then come straight from the scan.
+    The check is one pass that yields a row for each split. The rows then come straight from the
+    scan. Lines are numbered only in the first file that holds a bad record.
     """
-    first = load_rejects(spark, path).orderBy("file", "line_no").limit(1).collect()
-    if first:
-        raise ValueError(f"{first[0].reason} in {first[0].file} at line {first[0].line_no}")
-    return good_records(check_records(raw_lines(spark, path))).select("file", "text")
+    checked = check_records(raw_lines(spark, path))
+    bad = F.min(F.when(F.col("reason").isNotNull(), F.col("file")))
+    found = checked.groupBy(split_of(F.col("file")).alias("split")).agg(bad.alias("bad"))
+    first = found.agg(F.min("bad").alias("bad"), F.collect_set(F.when(F.col("split").isin(*splits), F.col("split"))).alias("there")).first()
+    absent = [name for name in splits if name not in first.there]
+    if absent:
+        raise ValueError(f"no records of split {', '.join(absent)} in {path}")
+    if first.bad is not None:
+        line = load_rejects(spark, path, first.bad).orderBy("line_no").first()
+        raise ValueError(f"{line.reason} in {line.file} at line {line.line_no}")
+    return good_records(checked).select("file", "text")
 
 
 def load_validation(spark: SparkSession, path: str) -> DataFrame:
-    """Lenient reader: records with a non-empty `text`; white space alone counts as text."""
-    return spark.read.schema("text string").json(path).where((F.col("text").isNotNull()) & (F.col("text") != ""))
+    """Lenient reader: records with a non-empty string `text`; white space alone counts as text. A line that is no JSON fails the job."""
+    checked = check_records(raw_lines(spark, path))
+    broken = F.raise_error(F.concat(F.lit("invalid_json in "), F.col("file"))).cast("string")
+    text = F.when(F.col("reason") == "invalid_json", broken).otherwise(F.col("text"))
+    return checked.select(text.alias("text")).where(F.col("text").isNotNull() & (F.col("text") != ""))
 
 
 def missing_splits(manifest: DataFrame, split: str = "split") -> DataFrame:
