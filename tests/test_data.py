@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from tuneweave.functions.tokenizers import token_ids
 from tuneweave.operators import conversations, evaluation, language, packing, sampling, scoring
 from tuneweave.params import PrepareParams, TrainLayout, ParameterError
-from tuneweave.plans.prepare import prepare_instructions, preprocess_summary
-from tuneweave.sources.tables import filter_language
+from tuneweave.plans.prepare import prepare_chat, prepare_instructions, preprocess_summary
+from tuneweave.sources.tables import filter_language, read_instructions
 
 DOCS = [(i, " ".join(f"w{i}_{j}" for j in range((i * 7) % 23))) for i in range(200)] + [(200, "long " * 3000)]
 PARTS = [1, 4, 64]
@@ -277,3 +277,32 @@ def test_unigram_scores_count_repeats_and_unseen_tokens(spark):
     new, a = math.log(7) - math.log(1), math.log(7) - math.log(4)
     assert set(got) == {*range(40), 99} and got[99] == (1, None)
     assert all(got[i][0] == 5 and abs(got[i][1] - (3 * new + a) / 4) < 1e-9 for i in range(40))
+
+
+def test_chat_preparation_filters_samples_and_plugs_in_a_tokenizer(spark):
+    rows = [(c, t, ("user", "assistant")[t], f"c{c} t{t}", ("en", "de")[c % 2]) for c in range(50) for t in range(2)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, lang string")
+    params = PrepareParams(sample_size=3, languages=["en"], eos="")
+    got = {r.conv_id for r in prepare_chat(turns, params).collect()}
+    assert got == set(sorted(range(0, 50, 2), key=lambda k: order("sample", k, 42))[:3])
+
+    class Letters:
+        def encode(self, text):
+            return [ord(c) for c in text]
+
+        def decode(self, ids):
+            return "".join(map(chr, ids))
+
+    assert {r.conv_id for r in prepare_chat(turns, params, Letters).collect()} == got
+    with pytest.raises(ValueError, match="no column lang"):
+        prepare_chat(turns.drop("lang"), params)
+
+
+def test_a_corpus_without_languages_is_refused_by_the_filter(spark):
+    source = spark.createDataFrame([(1, "a", "b")], "id long, instruction string, output string")
+    corpus = read_instructions(source, {"id": "id", "instruction": "instruction", "output": "output"})
+    with pytest.raises(ValueError, match="no column lang"):
+        prepare_instructions(corpus, PrepareParams(sample_size=None))
+    free = PrepareParams(sample_size=None, languages=None)
+    assert prepare_instructions(corpus, free).count() == 1
+    assert tuple(preprocess_summary(corpus, free).first()) == (1, [], 0, 42)

@@ -69,10 +69,18 @@ def test_strict_load_wants_its_splits(spark, tmp_path):
     (tmp_path / "split=train" / "part-0.json").write_text('{"text":"a"}\n')
     with pytest.raises(ValueError, match="no records of split validation"):
         jsonl.load_strict(spark, str(tmp_path), jsonl.REQUIRED_SPLITS)
-    (tmp_path / "validation.jsonl").write_text('{"text":"b"}\n')
+    (tmp_path / "split=validation").mkdir()
+    (tmp_path / "split=validation" / "part-0.json").write_text('{"text":"b"}\n')
     assert {r.text for r in jsonl.load_strict(spark, str(tmp_path), jsonl.REQUIRED_SPLITS).collect()} == {"a", "b"}
 
 
+def test_strict_load_of_files_named_by_split(spark, tmp_path):
+    for name in jsonl.REQUIRED_SPLITS:
+        (tmp_path / f"{name}.jsonl").write_text('{"text":"%s"}\n' % name)
+    rows = jsonl.load_strict(spark, str(tmp_path), jsonl.REQUIRED_SPLITS).collect()
+    assert {r.text for r in rows} == set(jsonl.REQUIRED_SPLITS)
+
+
 def test_malformed_lines_fail_lenient_loads(spark, tmp_path):
     (tmp_path / "val.jsonl").write_text('{"text":"a"}\n{cut\n')
     for load in (jsonl.load_validation, lambda s, p: calibration.load_calibration(s, p, ".jsonl")):

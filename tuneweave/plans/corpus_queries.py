@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +27,8 @@ LANGUAGES = ["en", "fr"]
 PARAMS = PrepareParams(
     sample_size=SAMPLE, languages=LANGUAGES, test_size=TEST_SIZE, cutoff_len=CUTOFF, seed=SEED, eos=EOS
 )
+# Conversations have no language; all of them are prepared.
+CHAT_PARAMS = replace(PARAMS, languages=None, sample_size=None)
 
 MAPPING = {
     "id": "doc_id",
@@ -144,7 +148,7 @@ def prepared_instructions(spark, folder):
 
 
 def prepared_chat(spark, folder):
-    return prepare_chat(turns(spark, folder), PARAMS)
+    return prepare_chat(turns(spark, folder), CHAT_PARAMS)
 
 
 def written_splits(spark, folder):

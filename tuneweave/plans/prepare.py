@@ -9,9 +9,10 @@ from ..functions.chat import instruction_turns, render_turns
 from ..functions.hashing import split_label
 from ..functions.text import cutoff, is_blank, token_count
 from ..functions.tokenizers import Load, cut_text
-from ..operators.conversations import conversation_texts
+from ..operators.conversations import conversation_texts, render_conversations
 from ..operators.sampling import sample_n
 from ..params import PrepareParams
+from ..session import stored
 from ..sources.tables import filter_language
 
 
@@ -22,7 +23,7 @@ def prepare_instructions(corpus: DataFrame, params: PrepareParams, tokenizer: Lo
     runs of non-space characters.
     """
     sampled = sample_n(_wanted(corpus, params), params.sample_size, "id", params.seed)
-    return prepare_rows(sampled, params, tokenizer)
+    return _rendered(sampled, params, tokenizer)
 
 
 def _wanted(corpus: DataFrame, params: PrepareParams) -> DataFrame:
@@ -30,8 +31,11 @@ def _wanted(corpus: DataFrame, params: PrepareParams) -> DataFrame:
 
 
 def prepare_rows(corpus: DataFrame, params: PrepareParams, tokenizer: Load | None = None) -> DataFrame:
-    """The row-local part, without the sample; also runs on a stream."""
-    kept = _wanted(corpus, params)
+    """The row-local part, for all rows whatever the sample size; also runs on a stream."""
+    return _rendered(_wanted(corpus, params), params, tokenizer)
+
+
+def _rendered(kept: DataFrame, params: PrepareParams, tokenizer: Load | None) -> DataFrame:
     pair = instruction_turns(F.col("instruction"), F.col("input"), F.col("output"))
     text = render_turns(params.template, pair, params.eos, params.bos)
     return _finish(kept.select("id", text.alias("text")), params, tokenizer)
@@ -54,15 +58,29 @@ def _finish(texts: DataFrame, params: PrepareParams, tokenizer: Load | None) ->
     )
 
 
-def prepare_chat(turns: DataFrame, params: PrepareParams) -> DataFrame:
-    """`conv_id, text, n_tokens, was_cut, split` from chat turns."""
-    texts = conversation_texts(turns, params.template, params.cutoff_len, params.eos, params.bos)
-    return texts.withColumn("split", split_label(F.col("conv_id"), params.test_size, params.seed))
+def prepare_chat(turns: DataFrame, params: PrepareParams, tokenizer: Load | None = None) -> DataFrame:
+    """`conv_id, text, n_tokens, was_cut, split` from chat turns.
+
+    Languages filter by a `lang` column of the turns, the same all through a conversation. The
+    sample is one of conversations.
+    """
+    wanted = filter_language(turns, params.languages)
+    if params.sample_size is not None:
+        ids = stored(wanted.select("conv_id").distinct(), "conversations")
+        wanted = wanted.join(sample_n(ids, params.sample_size, "conv_id", params.seed), "conv_id", "left_semi")
+    if tokenizer is None:
+        texts = conversation_texts(wanted, params.template, params.cutoff_len, params.eos, params.bos)
+        return texts.withColumn("split", split_label(F.col("conv_id"), params.test_size, params.seed))
+    whole = render_conversations(wanted, params.template, params.eos, params.bos)
+    done = _finish(whole.select(F.col("conv_id").alias("id"), "text"), params, tokenizer)
+    return done.withColumnRenamed("id", "conv_id")
 
 
 def preprocess_summary(corpus: DataFrame, params: PrepareParams, text: str = "output") -> DataFrame:
     """Rows in, kept and discarded, the languages kept and the seed, in one pass."""
     kept = ~is_blank(F.col(text))
+    if "lang" not in corpus.columns:
+        corpus = filter_language(corpus, params.languages).withColumn("lang", F.lit(None).cast("string"))
     if params.languages is not None:
         kept = kept & F.col("lang").isin([code.lower() for code in params.languages])
     per_lang = corpus.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.count_if(kept).alias("n_kept"))

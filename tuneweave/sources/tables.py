@@ -22,12 +22,19 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
 
 def read_instructions(source: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
-    """Map a corpus to `id, instruction, input, output, lang` by SQL expressions; columns left out are null."""
+    """Map a corpus to `id, instruction, input, output, lang` by SQL expressions.
+
+    Columns left out are null, but `lang`, which is then not there: a language filter refuses such a corpus.
+    """
     unknown = set(mapping) - set(INSTRUCTION_COLUMNS)
     if unknown:
         raise ValueError(f"unknown columns {sorted(unknown)}")
     return source.select(
-        *[F.expr(mapping.get(name, "null")).cast(kind).alias(name) for name, kind in INSTRUCTION_COLUMNS.items()]
+        *[
+            F.expr(mapping.get(name, "null")).cast(kind).alias(name)
+            for name, kind in INSTRUCTION_COLUMNS.items()
+            if name != "lang" or name in mapping
+        ]
     )
 
 
@@ -37,4 +44,6 @@ def filter_language(df: DataFrame, languages: list[str] | None, lang: str = "lan
         return df
     if not languages:
         raise ValueError("the language list is empty; pass None for no filter")
+    if lang not in df.columns:
+        raise ValueError(f"no column {lang} to filter by: map one, detect the language, or pass None for no filter")
     return df.where(F.col(lang).isin([code.lower() for code in languages]))
