@@ -97,6 +97,14 @@ def test_tree_walk_loses_no_pair():
         assert len(left) < len(sets) * (len(sets) - 1) / 2
 
 
+def test_tree_walk_prunes_as_sharply_beside_a_much_longer_set():
+    rnd = np.random.default_rng(2)
+    sets = [np.unique(rnd.integers(0, 2**63, n).astype(np.uint64)) for n in [*[200] * 30, 20_000]]
+    members = [(bytes([i]), bytes([i]), len(s), ngram_join.signature(s), s) for i, s in enumerate(sets)]
+    for groups in ([members], [members[:10], members[10:]]):
+        assert len(ngram_join.open_pairs(groups, 90)[0]) == 0
+
+
 def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(20)] + [(100, i) for i in range(101, 130)] + [(7, 7), (1, 0)]
     got = {r.vertex: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}

@@ -250,7 +250,8 @@ def signature(tokens: np.ndarray) -> bytes:
 
 
 class Tree:
-    """Levels of nodes over sets sorted by size, the sets first; each has bitmap, size range, largest excess and component."""
+    """Levels of nodes over sets sorted by size, the sets first; each has bitmap, size range, largest excess, component
+    and period: the bytes after which its bitmap repeats, as shorter bitmaps are repeated to one width."""
 
     def __init__(self, maps: list[bytes], sizes: list[int], labels: np.ndarray, width: int):
         own = [np.frombuffer(m, np.uint8) for m in maps]
@@ -259,9 +260,10 @@ class Tree:
         low = np.array(sizes, dtype=np.int64)
         # Tokens that share a bit with another token of the same set.
         excess = low - np.array([int(np.bitwise_count(m).sum()) for m in own], dtype=np.int64)
-        self.levels = [(level, low, low, excess, labels)]
+        period = np.array([len(m) for m in own], dtype=np.int64)
+        self.levels = [(level, low, low, excess, labels, period)]
         while len(self.levels[-1][1]) > 1:
-            level, low, high, excess, labels = self.levels[-1]
+            level, low, high, excess, labels, period = self.levels[-1]
             at = np.arange(0, len(low), FANOUT)
             lowest, highest = np.minimum.reduceat(labels, at), np.maximum.reduceat(labels, at)
             self.levels.append(
@@ -271,14 +273,16 @@ class Tree:
                     np.maximum.reduceat(high, at),
                     np.maximum.reduceat(excess, at),
                     np.where(lowest == highest, lowest, -1),
+                    np.maximum.reduceat(period, at),
                 )
             )
 
 
 def may_link(left: tuple, i: np.ndarray, right: tuple, j: np.ndarray, percent: int) -> np.ndarray:
     """Whether sets below nodes i and j can link: by the largest overlap that sizes and bitmaps allow."""
-    maps_a, low_a, high_a, excess_a, label_a = left
-    maps_b, low_b, high_b, excess_b, label_b = right
+    maps_a, low_a, high_a, excess_a, label_a, period_a = left
+    maps_b, low_b, high_b, excess_b, label_b, period_b = right
+    width = maps_a.shape[1] * maps_a.itemsize
     least = low_a[i] + low_b[j]
     most = np.minimum(high_a[i], high_b[j])
     open_ = ((100 + percent) * most >= percent * least) & ((label_a[i] < 0) | (label_a[i] != label_b[j]))
@@ -287,6 +291,8 @@ def may_link(left: tuple, i: np.ndarray, right: tuple, j: np.ndarray, percent: i
     for start in range(0, len(some), PAIRS):
         at = some[start : start + PAIRS]
         both = np.bitwise_count(maps_a[i[at]] & maps_b[j[at]]).sum(axis=1).astype(np.int64)
+        # Counted once, not in each repetition.
+        both //= width // np.maximum(period_a[i[at]], period_b[j[at]])
         best = np.minimum(most[at], both + np.minimum(excess_a[i[at]], excess_b[j[at]]))
         open_[at] = (100 + percent) * best >= percent * least[at]
     return open_
