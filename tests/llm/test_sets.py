@@ -163,6 +163,72 @@ def test_license_edge_cases(spark):
     assert "Python" not in plan and "Join" not in plan
 
 
+def brute_notices(text, templates, t):
+    """license, first line and dice of each notice, by trying every window of every template."""
+    norm = lambda x: "".join(c if c.isascii() and c.isalnum() else " " for c in x.lower()).split()
+    words, line_of, found = [], [], []
+    lines, ratio = (text or "").split("\n"), t / (2 - t)
+    known = {n: [f"{a} {b}" for a, b in zip(norm(x), norm(x)[1:])] for n, x in sorted(templates.items())}
+    for k, line in enumerate(lines):
+        own = norm(line)
+        pairs = set(map(" ".join, zip(own, own[1:])))
+        fits = [(2 * len(pairs & set(p)) / (len(pairs) + len(set(p))), -i, n) for i, (n, p) in enumerate(known.items()) if len(set(p)) * ratio <= len(pairs) <= len(set(p)) / ratio]
+        dice, _, name = max(fits, default=(0, 0, None))
+        if dice >= t:
+            found.append((-len(pairs & set(known[name])), 0, -dice, name, len(words), len(words) + len(own) - 1))
+        words += own
+        line_of += [k] * len(own)
+    pairs = list(map(" ".join, zip(words, words[1:])))
+    starts = [i for i in range(len(words)) if i == 0 or line_of[i] != line_of[i - 1]]
+    stops = [*[i - 1 for i in starts[1:]], len(words) - 1]
+    for name, p in known.items():
+        length, p, own = len(p), set(p), []
+        most, last = int(length * (2 - t) / t + 1e-9), len(pairs) - 1
+        places = [i for i, x in enumerate(pairs) if x in p]
+        tried = {(i, min(i + length - 1, last)) for i in (max(0, min(i, last - length + 1)) for i in places)}
+        tried |= {(i, j) for i in places for j in places if length < j - i + 1 <= most}
+        tried |= {(i, j - 1) for i in starts for j in stops if 1 <= j - i <= most}
+        for i, j in tried:
+            inside = set(pairs[i : j + 1])
+            dice = 2 * len(inside & p) / (len(inside) + len(p))
+            if dice >= t:
+                own.append((-dice, -len(inside & p), i, j + 1))
+        kept = []
+        for x in sorted(own):
+            if not any(y[2] <= x[3] and x[2] <= y[3] for y in kept):
+                kept.append(x)
+        found += [(x[1], 1, x[0], name, x[2], x[3]) for x in kept]
+    kept = []
+    for x in sorted(found):
+        if not any(y[4] <= x[5] and x[4] <= y[5] for y in kept):
+            kept.append(x)
+    out = {}
+    for _, _, less, name, start, _ in kept:
+        n, first, dice = out.get(name, (0, 1 << 30, 0))
+        out[name] = (n + 1, min(first, line_of[start]), max(dice, -less))
+    return out
+
+
+def test_license_notices_wrapped_and_inside_lines_against_brute_force(spark):
+    rnd = random.Random(4)
+    known = license_scan.TEMPLATES
+    texts = ["Copyright 2024 X Y. Released under the MIT License.", "x\n" + known["apache-2.0-notice"].replace(" you may", "\n# you may")]
+    for name, notice in known.items():
+        for _ in range(4):
+            words = notice.split()
+            for _ in range(rnd.randint(0, max(1, len(words) // 8))):
+                words[rnd.randrange(len(words))] = rnd.choice(["of", "the", "x", "x y", ""])
+            lead = [rnd.choice("some words of the text under License rights".split()) for _ in range(rnd.randint(0, 9))]
+            words = lead + words + rnd.choice([[], ["All", "rights", "reserved."], notice.split(), ["the", "end"]])
+            texts.append("".join(w + rnd.choice([" ", " ", " ", " ", "\n", "\n * "]) for w in words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {}
+    for r in license_scan.scan(docs, known).collect():
+        got.setdefault(r.doc_id, {})[r.license] = (r.n_lines, r.first_line, r.dice)
+    assert got[0] == {"mit": (1, 0, 1.0)} and got[1] == {"apache-2.0-notice": (1, 1, 1.0)}
+    assert got == {i: found for i, x in enumerate(texts) if (found := brute_notices(x, known, license_scan.THRESHOLD))}
+
+
 def test_pipeline_stages_against_brute_force(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").withColumn("kept", F.lit("mine")).withColumn("score", F.lit(1))
     (_, rules), (_, language), (_, near), (_, pack) = corpus_pipeline.STAGES
