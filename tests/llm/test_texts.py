@@ -186,6 +186,26 @@ def test_html_without_an_article():
     assert html_text.main_text(page) == " ".join([prose.strip()] * 2)
 
 
+@pytest.mark.parametrize("name", ["audio", "video", "canvas", "noscript", "template", "svg", "math", "object", "select"])
+def test_html_hidden_elements_without_end_tag(name):
+    first, more = "The first paragraph of the article is here.", "Another paragraph of the article that follows it."
+    keep = f"{first} {more}"
+    for form in (f"<{name} id=x />", f"<{name} src='x'/>", f"<{name}>gone</{name}>", f"<{name}><b>gone<{name}>gone</{name}></b></{name}>"):
+        assert html_text.main_text(f"<article><p>{first}</p>{form}<p>{more}</p></article>") == keep
+    assert html_text.main_text(f"<article><p>{first}</p><div><{name}>gone</div><p>{more}</p></article>") == keep
+    page = f"<article><p>{first}</p><div><{name}>gone<b>gone</div><p>{more}</p><div><{name}>gone</{name}></div></article>"
+    assert html_text.main_text(page) == keep
+    assert html_text.main_text(f"<head><{name}>gone<body><article><p>{first}</p><p>{more}</p></article>") == keep
+
+
+def test_html_media_end_with_their_paragraph_and_raw_elements_with_the_page():
+    assert html_text.main_text("<article><p>One two three.<video src=x>gone<p>Four five six.<audio>gone<h2>Seven</h2></article>") == (
+        "One two three. Four five six. Seven"
+    )
+    for name in ("script", "style", "title", "textarea"):
+        assert html_text.main_text(f"<article><p>One two three.</p><div><{name}>gone</div><p>gone</p></article>") == "One two three."
+
+
 @pytest.mark.parametrize("name", ["op2_packing", "op3_bpe", "op9_token_counts", "op7_html_text"])
 def test_queries_keep_every_row(spark, name):
     rows = QUERIES[name](spark, FOLDER).collect()

@@ -6,7 +6,9 @@ it lies inside an article or inside page furniture. A decision tree trained on t
 small table below decides which blocks are main text.
 
 Defined results: a null or empty page has an empty text; markup that is not
-closed or cut off is read as far as it goes; repeated rows give equal rows; existing columns
+closed or cut off is read as far as it goes; script, style, title and textarea without
+an end tag run to the end of the page, other hidden elements end with their parent, or at once if
+written as self-closing; repeated rows give equal rows; existing columns
 named like the results are replaced.
 """
 
@@ -27,6 +29,16 @@ from tuneweave.llm.common import with_result
 
 # Names of HTML elements.
 HIDDEN = frozenset("script style noscript template title textarea select option svg math iframe object canvas audio video".split())
+# Hidden elements whose content is no markup; those of RUNS_ON end with the page if they are not closed.
+RAW = frozenset("script style title textarea iframe".split())
+RUNS_ON = RAW - {"iframe"}
+# Hidden elements that take the place of a phrase and end with the paragraph around them.
+PHRASES = frozenset("audio video canvas noscript".split())
+# Elements that end an open paragraph.
+ENDS_P = frozenset(
+    "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav "
+    "ol p pre section table ul".split()
+)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup "
@@ -78,6 +90,7 @@ def blocks(page: str) -> list[Block]:
     linked = 0
     open_: list[tuple[str, bool, bool]] = []  # name, main, furniture
     main = furniture = link = 0
+    hide = -1  # place in open_ of the outermost hidden element
 
     def close() -> None:
         nonlocal linked
@@ -89,9 +102,17 @@ def blocks(page: str) -> list[Block]:
             parts.clear()
         linked = 0
 
+    def pop(depth: int) -> None:
+        nonlocal main, furniture, link, hide
+        while len(open_) > depth:
+            n, a, b = open_.pop()
+            main, furniture, link = main - a, furniture - b, link - (n == "a")
+        if hide >= depth:
+            hide = -1
+
     def say(raw: str) -> None:
         nonlocal linked
-        if raw:
+        if raw and hide < 0:
             text = html.unescape(raw) if "&" in raw else raw
             parts.append(text)
             if link:
@@ -117,23 +138,41 @@ def blocks(page: str) -> list[Block]:
                 if open_[depth][0] == name:
                     break
             else:
-                if name == "p":
+                if name == "p" and hide < 0:
                     close()
                 continue
-            if any(n not in INLINE for n, _, _ in open_[depth:]):
+            if any(n not in INLINE for n, _, _ in (open_[depth:hide] if hide >= 0 else open_[depth:])):
+                close()
+            pop(depth)
+            continue
+        if name in RAW:
+            over = re.compile(rf"</{name}\s*(?:>|\Z)", re.I).search(page, at)
+            at = over.end() if over else (end if name in RUNS_ON else at)
+            if hide < 0:
                 close()
-            while len(open_) > depth:
-                n, a, b = open_.pop()
-                main, furniture, link = main - a, furniture - b, link - (n == "a")
             continue
-        if name in HIDDEN:
-            if not attrs.rstrip().endswith("/") or name not in {"svg", "math"}:
-                over = re.compile(rf"</{re.escape(name)}\s*(?:>|\Z)", re.I).search(page, at)
-                at = over.end() if over else (at if name in {"option", "select", "iframe", "object"} else end)
+        if hide >= 0 and name == "body":
+            pop(hide)
+        if hide >= 0 and name in ENDS_P:
+            for depth in range(len(open_) - 1, -1, -1):
+                n = open_[depth][0]
+                if n == "p":
+                    if depth < hide:
+                        close()
+                    pop(depth)
+                    break
+                if n not in INLINE and n not in PHRASES:
+                    break
+        if hide < 0 and name in HIDDEN:
             if name not in {"svg", "math"}:
                 close()
+            if not attrs.rstrip().endswith("/"):
+                if name == "option" and open_ and open_[-1][0] == "option":
+                    pop(len(open_) - 1)
+                hide = len(open_)
+                open_.append((name, False, False))
             continue
-        if name not in INLINE or name == "img":
+        if hide < 0 and (name not in INLINE or name == "img"):
             if name == "br" or name not in INLINE:
                 close() if name != "br" else parts.append(" ")
         if name in VOID:
@@ -143,13 +182,13 @@ def blocks(page: str) -> list[Block]:
             for depth in range(len(open_) - 1, -1, -1):
                 n = open_[depth][0]
                 if n == name:
-                    while len(open_) > depth:
-                        n, a, b = open_.pop()
-                        main, furniture, link = main - a, furniture - b, link - (n == "a")
+                    if depth < hide:
+                        close()
+                    pop(depth)
                     break
-                if n not in INLINE:
+                if n not in INLINE and n not in PHRASES:
                     break
-        if attrs.endswith("/") and name not in FURNITURE | MAIN and name not in INLINE:
+        if attrs.endswith("/") and (hide >= 0 or name not in FURNITURE | MAIN and name not in INLINE):
             continue
         a, b = name in MAIN, name in FURNITURE or name != "body" and name != "html" and marked(attrs)
         open_.append((name, a, b))
