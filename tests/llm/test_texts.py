@@ -206,6 +206,36 @@ def test_html_media_end_with_their_paragraph_and_raw_elements_with_the_page():
         assert html_text.main_text(f"<article><p>One two three.</p><div><{name}>gone</div><p>gone</p></article>") == "One two three."
 
 
+LONG = "This paragraph of the article has a good many words and is by no means a part of the furniture of the page. " * 8
+
+
+@pytest.mark.parametrize(
+    "wrapper",
+    ["div id=page class='layout has-sidebar'", "div class='no-comments'", "section class='sidebar widget'", "div id=comments", "form id=aspnet", "div role=search"],
+)
+@pytest.mark.parametrize("article", ["article class='post category-social'", "article class='social widget'", "main class=banner"])
+def test_html_article_and_what_is_around_it_are_no_furniture(wrapper, article):
+    page = f"<{wrapper}><nav><a href=/>Home</a></nav><{article}><h1>Short</h1><p>{LONG}</p><p>Two words.</p><div class=ad>Buy now and save a lot.</div>"
+    page += f"</{article.split()[0]}></{wrapper.split()[0]}>"
+    assert html_text.main_text(page) == f"Short {LONG.strip()} Two words."
+
+
+def test_html_parts_of_class_names_do_not_count():
+    for name in ("has-sidebar", "no-comments", "category-social", "post-with-ad-free-text"):
+        assert not any(b.furniture for b in html_text.blocks(f"<div class='x {name}'><p>{LONG}</p></div>"))
+    assert all(b.furniture for b in html_text.blocks(f"<div class='x sidebar'><p>{LONG}</p></div>"))
+
+
+def test_html_long_marked_block_in_an_article():
+    assert html_text.main_text(f"<article><h1>T</h1><div class=widget><p>{LONG}</p><p>{LONG}</p></div></article>") == " ".join(["T", *[LONG.strip()] * 2])
+
+
+def test_html_comments_as_articles():
+    comment = "<article class=comment-body><p>I liked this very much, thanks for writing all of it down.</p></article>"
+    page = f"<main><article><p>{LONG}</p></article><div id=comments>{comment}{comment}</div></main>"
+    assert html_text.main_text(page) == LONG.strip()
+
+
 @pytest.mark.parametrize("name", ["op2_packing", "op3_bpe", "op9_token_counts", "op7_html_text"])
 def test_queries_keep_every_row(spark, name):
     rows = QUERIES[name](spark, FOLDER).collect()

@@ -46,12 +46,18 @@ INLINE = frozenset(
 )
 FURNITURE = frozenset("nav header footer aside form menu dialog button fieldset".split())
 MAIN = frozenset("article main".split())
-# Words of class, id and role attributes that mark page furniture.
+# Whole classes, ids and roles that mark page furniture.
 MARKS = frozenset(
     "ad ads adbox adsense advert adverts advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies disclaimer "
     "disqus footer header login masthead menu modal nav navbar navigation newsletter notice notification pagination "
-    "popup promo related respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
+    "popup promo related respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget "
+    "ad-banner ad-box ad-container ad-slot ad-unit ad-wrapper comment-form comment-list comments-area comments-section cookie-banner "
+    "cookie-bar cookie-consent cookie-notice footer-widgets main-menu main-nav main-navigation nav-bar newsletter-signup page-footer "
+    "page-header post-navigation promo-box related-articles related-posts search-form share-buttons sharing-buttons sidebar-widget "
+    "site-footer site-header site-nav site-navigation social-links social-media social-share top-nav widget-area".split()
 )
+# Marks of places that hold articles of their own, which are not the page's.
+SIDE = frozenset("comment comments comment-list comments-area comments-section disqus related related-articles related-posts respond".split())
 
 _token = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -61,7 +67,6 @@ _token = re.compile(
 )
 _marks = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _hidden = re.compile(r"""\bhidden\b(?!\s*=\s*["']?false)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
-_words = re.compile(r"[a-z]+").findall
 
 
 @dataclass
@@ -73,19 +78,40 @@ class Block:
     furniture: bool
 
 
-def marked(attrs: str) -> bool:
-    """Whether class, id or role has a word of MARKS, or the element is hidden."""
+@dataclass(eq=False)
+class Mark:
+    """That an open element is furniture by its class, id or role, or a form; `off` once it is known to hold the main text."""
+
+    side: bool
+    off: bool = False
+
+
+def mark_of(attrs: str) -> Mark | None:
+    """The mark by a class, id or role that is in MARKS."""
+    if "=" not in attrs:
+        return None
+    tokens = {t for groups in _marks.findall(attrs) for t in "".join(groups).lower().split()}
+    return Mark(not SIDE.isdisjoint(tokens)) if not MARKS.isdisjoint(tokens) else None
+
+
+def not_shown(attrs: str) -> bool:
+    """Whether the element is hidden."""
     if not attrs or "=" not in attrs and "hidden" not in attrs:
         return False
-    for groups in _marks.findall(attrs):
-        if not MARKS.isdisjoint(_words("".join(groups).lower())):
-            return True
     return bool(_hidden.search(re.sub(r"""=\s*("[^"]*"|'[^']*')""", lambda m: m[0] if "none" in m[0] or "true" in m[0] else "=", attrs)))
 
 
 def blocks(page: str) -> list[Block]:
-    """Flat text blocks in page order."""
+    """Flat text blocks in page order.
+
+    Marks of article, main and what is around them do not count. An article in a place of SIDE, as
+    comments are, leaves the mark of that place and its own unless it is the longest of the page.
+    """
     found: list[Block] = []
+    marks_of: list[tuple[Mark, ...]] = []  # of each block
+    marks: list[tuple[int, Mark]] = []  # of open elements, with their places in open_
+    articles: list[list] = []  # words and marks of each article
+    inside: list[tuple[int, list]] = []  # open articles, with their places in open_
     parts: list[str] = []
     linked = 0
     open_: list[tuple[str, bool, bool]] = []  # name, main, furniture
@@ -99,6 +125,9 @@ def blocks(page: str) -> list[Block]:
             if text:
                 words = text.count(" ") + 1
                 found.append(Block(text, words, min(words, linked), main > 0, furniture > 0))
+                marks_of.append(tuple(m for _, m in marks))
+                for _, article in inside:
+                    article[0] += words
             parts.clear()
         linked = 0
 
@@ -107,6 +136,10 @@ def blocks(page: str) -> list[Block]:
         while len(open_) > depth:
             n, a, b = open_.pop()
             main, furniture, link = main - a, furniture - b, link - (n == "a")
+        while marks and marks[-1][0] >= depth:
+            marks.pop()
+        while inside and inside[-1][0] >= depth:
+            inside.pop()
         if hide >= depth:
             hide = -1
 
@@ -190,10 +223,26 @@ def blocks(page: str) -> list[Block]:
                     break
         if attrs.endswith("/") and (hide >= 0 or name not in FURNITURE | MAIN and name not in INLINE):
             continue
-        a, b = name in MAIN, name in FURNITURE or name != "body" and name != "html" and marked(attrs)
+        a, shown = name in MAIN, name in {"body", "html"}
+        b = name in FURNITURE and name != "form" or not shown and not_shown(attrs)
+        mark = None if shown else mark_of(attrs)
+        if name == "form":
+            mark = Mark(mark is not None and mark.side)
+        if mark:
+            marks.append((len(open_), mark))
+        if a and hide < 0:
+            for _, m in marks:
+                m.off = m.off or name == "main" or not m.side
+            if name == "article":
+                articles.append([0, [m for _, m in marks]])
+                inside.append((len(open_), articles[-1]))
         open_.append((name, a, b))
         main, furniture, link = main + a, furniture + b, link + (name == "a")
     close()
+    for m in max(articles, key=lambda x: x[0], default=(0, ()))[1]:
+        m.off = True
+    for block, own in zip(found, marks_of):
+        block.furniture = block.furniture or not all(m.off for m in own)
     return found
 
 
@@ -228,6 +277,8 @@ TABLE = """
 7 0.1 150 0 0 0 0 1 0
 3 0 7 0 0 0 0 1 0
 22 0 9 1 22 0 1 1 0
+240 0 180 0 210 0 1 1 1
+60 0 1 1 60 0 0 0 1
 1 0 30 0 0 0 0 1 0
 60 0.7 4 1 5 1 0 1 0
 35 0 10 0 50 0 0 0 1
