@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tuneweave import session
 from tuneweave.functions import naming
 from tuneweave.operators import checkpoints, logs, metrics, runs, stages
+from tuneweave.plans import log_queries
 from tuneweave.session import scratch_path, stored
 from tuneweave.sources import calibration, jsonl, listing, sinks
 from tuneweave.streaming import jobs
@@ -165,6 +166,40 @@ def test_stitching(spark, parts, per_block, per_row):
     assert texts == {k: "\n".join(v) for k, v in want.items()}
 
 
+@pytest.mark.parametrize("per_block, per_row", [(3, 2), (65_536, 1024)])
+def test_lines_before_the_first_header_are_rows(spark, per_block, per_row):
+    texts = ["Traceback", " at x", "", " at y", HEAD + "one", " more", "2024-01-01 00:00:08 | ERROR    | train | two"]
+    rows = [("cut", 40 + i, v) for i, v in enumerate(texts)] + [("none", 7, "no header"), ("whole", 0, HEAD + "three")]
+    records = logs.read_records(lines(spark, rows), per_block, per_row, headless=True)
+    got = {}
+    for r in sorted(records.collect(), key=lambda r: r.segment):
+        key = (r.source, r.record, r.ts is None, r.level, r.logger)
+        got[key] = got[key] + "\n" + r.message if key in got else r.message
+    assert got == {
+        ("cut", None, True, None, None): "\n".join(texts[:4]),
+        ("cut", 44, False, "INFO", "train"): "one\n more",
+        ("cut", 46, False, "ERROR", "train"): "two",
+        ("none", None, True, None, None): "no header",
+        ("whole", 0, False, "INFO", "train"): "three",
+    }
+    kept = logs.at_least(records, "warning").collect()
+    assert {(r.source, r.record) for r in kept} == {("cut", None), ("cut", 46), ("none", None)}
+
+
+def test_queries_give_out_lines_before_the_first_header(spark, monkeypatch):
+    cut = lines(spark, [("run", 3, "  ValueError: cut"), ("run", 4, HEAD + "one")])
+    monkeypatch.setattr(log_queries, "log_lines", lambda *_: cut)
+    assert {(r.record, r.message) for r in log_queries.records(spark, "").collect()} == {(None, "  ValueError: cut"), (4, "one")}
+    assert [(r.record, r.level) for r in log_queries.warnings(spark, "").collect()] == [(None, None)]
+
+
+def test_rotated_files_keep_the_record_of_the_file_before(spark):
+    rows = [("log.1", 1, HEAD + "one"), ("log.1", 2, "Traceback"), ("log", 1, " at x"), ("log", 2, HEAD + "two"), ("other", 1, "cut")]
+    files = spark.createDataFrame([("log.1", "a", 0), ("log", "a", 1), ("other", "b", 0)], "source string, run string, position int")
+    got = logs.read_records(logs.rotated_lines(lines(spark, rows), files), headless=True).collect()
+    assert {(r.source, r.message) for r in got} == {("a", "one\nTraceback\n at x"), ("a", "two"), ("b", "cut")}
+
+
 @pytest.mark.parametrize("parts", PARTS)
 @pytest.mark.parametrize("budget", [1, 30, 100, 10_000])
 @pytest.mark.parametrize("per_block", [4, 65_536])

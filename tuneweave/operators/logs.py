@@ -57,7 +57,7 @@ def _block(order: str, size: int) -> Column:
 def stitch_records(lines: DataFrame, per_block: int = LINES_PER_BLOCK, per_row: int = LINES_PER_ROW) -> DataFrame:
     """Lines with the header line of their record: `source, line_no, record, segment, value`.
 
-    Lines before the first header belong to no record and keep a null `record`.
+    Lines before the first header belong to no record and keep a null `record`; their segments count from the first line.
     The header is looked up inside blocks of lines; what a block inherits from
     the ones before it comes from one row per block. So a log of any length is
     spread over many tasks.
@@ -67,26 +67,51 @@ def stitch_records(lines: DataFrame, per_block: int = LINES_PER_BLOCK, per_row:
     per_file = W.partitionBy("source").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     inherited = (
         blocked.groupBy("source", "_block")
-        .agg(F.max("_header").alias("_max"))
-        .select("source", "_block", F.max("_max").over(per_file).alias("_inherited"))
+        .agg(F.max("_header").alias("_max"), F.min("line_no").alias("_min"))
+        .select(
+            "source",
+            "_block",
+            F.max("_max").over(per_file).alias("_inherited"),
+            F.min("_min").over(W.partitionBy("source")).alias("_first"),
+        )
     )
     in_block = W.partitionBy("source", "_block").orderBy("line_no")
     own = F.max("_header").over(in_block.rowsBetween(W.unboundedPreceding, 0))
     return (
         blocked.withColumn("_own", own)
         .join(inherited, ["source", "_block"])
-        .select("source", "line_no", F.coalesce("_own", "_inherited").alias("record"), "value")
-        .withColumn("segment", F.expr(f"(line_no - record) div {per_row}"))
+        .select("source", "line_no", F.coalesce("_own", "_inherited").alias("record"), "value", "_first")
+        .withColumn("segment", F.expr(f"(line_no - coalesce(record, _first)) div {per_row}"))
+        .drop("_first")
     )
 
 
-def read_records(lines: DataFrame, per_block: int = LINES_PER_BLOCK, per_row: int = LINES_PER_ROW) -> DataFrame:
+def rotated_lines(lines: DataFrame, files: DataFrame) -> DataFrame:
+    """Lines of rotated files as lines of their run: `source` is the run and `line_no` goes on from file to file.
+
+    `files` has a row for each file: `source, run, position`, positions growing from the oldest file.
+    So a file that begins in the middle of a record goes on with the record of the file before it.
+    """
+    before = W.partitionBy("run").orderBy("position").rowsBetween(W.unboundedPreceding, -1)
+    length = lines.groupBy("source").agg((F.max("line_no") + 1).alias("_length"))
+    start = files.join(length, "source").select("source", "run", F.coalesce(F.sum("_length").over(before), F.lit(0)).alias("_start"))
+    return lines.join(start, "source").select(F.col("run").alias("source"), (F.col("_start") + F.col("line_no")).alias("line_no"), "value")
+
+
+def read_records(
+    lines: DataFrame, per_block: int = LINES_PER_BLOCK, per_row: int = LINES_PER_ROW, headless: bool = False
+) -> DataFrame:
     """`source, record, segment, ts, level, logger, message`.
 
+    With `headless`, the lines before a source's first header are rows too, with a null `record` and null header fields;
+    without it they are left out.
+
     A record longer than `per_row` lines goes on in rows with higher
     `segment`, whose message is the text that follows; they carry the header's fields too.
     """
-    stitched = stitch_records(lines, per_block, per_row).where(F.col("record").isNotNull())
+    stitched = stitch_records(lines, per_block, per_row)
+    if not headless:
+        stitched = stitched.where(F.col("record").isNotNull())
     line = F.struct("line_no", "value")
     text = F.array_join(F.transform(F.array_sort(F.collect_list(line)), lambda x: x["value"]), "\n")
     grouped = stitched.groupBy("source", "record", "segment").agg(text.alias("_text"))
@@ -96,7 +121,7 @@ def read_records(lines: DataFrame, per_block: int = LINES_PER_BLOCK, per_row: in
     record = W.partitionBy("source", "record").orderBy("segment").rowsBetween(W.unboundedPreceding, 0)
 
     def header(field: Column, name: str) -> Column:
-        return F.first(F.when(~more, field), ignorenulls=True).over(record).alias(name)
+        return F.first(F.when(~more & F.col("record").isNotNull(), field), ignorenulls=True).over(record).alias(name)
 
     return grouped.select(
         "source",
@@ -105,15 +130,16 @@ def read_records(lines: DataFrame, per_block: int = LINES_PER_BLOCK, per_row: in
         header(ts, "ts"),
         header(level, "level"),
         header(logger, "logger"),
-        F.when(more, F.col("_text")).otherwise(message).alias("message"),
+        F.when(more | F.col("record").isNull(), F.col("_text")).otherwise(message).alias("message"),
     )
 
 
 def at_least(records: DataFrame, level: str) -> DataFrame:
-    """Records of this severity or higher."""
+    """Records of this severity or higher, and lines without a record, whose severity is not known."""
     if level.upper() not in LEVELS:
         raise ValueError(f"unknown level {level!r}")
-    return records.where(level_rank(F.col("level")) >= LEVELS[level.upper()])
+    headless = F.col("record").isNull() if "record" in records.columns else F.lit(False)
+    return records.where((level_rank(F.col("level")) >= LEVELS[level.upper()]) | headless)
 
 
 def suppressed(text: Column) -> Column:

@@ -48,12 +48,12 @@ def log_lines(spark, folder) -> DataFrame:
 
 
 def records(spark, folder):
-    found = logs.read_records(log_lines(spark, folder), per_block=4096)
+    found = logs.read_records(log_lines(spark, folder), per_block=4096, headless=True)
     return found.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
 
 
 def warnings(spark, folder):
-    found = logs.at_least(logs.read_records(log_lines(spark, folder)), "warning")
+    found = logs.at_least(logs.read_records(log_lines(spark, folder), headless=True), "warning")
     return found.select("source", "record", "level")
 
 
