@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tuneweave.llm import ann, bpe, html_text, language_id, license_scan, ngram_join, packing, quality, token_counts, url_filter
+from tuneweave.llm import (
+    ann,
+    bpe,
+    collocations,
+    html_text,
+    language_id,
+    lexical_search,
+    license_scan,
+    ngram_join,
+    packing,
+    quality,
+    token_counts,
+    token_files,
+    url_filter,
+)
 from tuneweave.llm.common import table
 
 # Rules of the url query: name and verdict.
@@ -89,6 +103,22 @@ def ngram_join_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents", "doc_id", "text"), size=3, percent=90)
 
 
+def token_file_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary("word_bpe_49k.json")
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = token_files.round_trip(docs, lambda: token_files.load_tokenizer(path))
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def collocation_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents", "lang", "text"))
+
+
+def lexical_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return lexical_search.search(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 QUERIES = {
     "op1_url_filter": url_filter_query,
     "op2_packing": packing_query,
@@ -100,6 +130,9 @@ QUERIES = {
     "op8_quality": quality_query,
     "op9_token_counts": token_count_query,
     "op10_ngram_join": ngram_join_query,
+    "op11_token_files": token_file_query,
+    "op12_collocations": collocation_query,
+    "op13_lexical_search": lexical_query,
 }
 
 
@@ -155,4 +188,74 @@ select doc_id, license, count(*) as n_lines, min(line)::int as first_line, max(d
 """
 
 
-ORACLE = {"op1_url_filter": _url_sql(), "op4_license_scan": _license_sql()}
+def _collocation_sql() -> str:
+    return rf"""
+with docs as (
+  select coalesce(lang, 'und') as lang, {_lower("coalesce(text, '')")} as text from documents
+), pieces as (
+  select lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) as piece from docs
+), words as (
+  select lang, regexp_extract_all(piece, '[^ \x09]+') as w from pieces
+), starts as (
+  select lang, w, unnest(range(1, len(w) + 1)) as i from words
+), grams as materialized (
+  select lang, k as size, array_to_string(w[i:i + k - 1], ' ') as phrase, count(*) as f
+  from starts, (values (1), (2), (3)) as v(k) where i + k - 1 <= len(w) group by all
+), candidates as (
+  select lang, size, phrase, f as a, string_split(phrase, ' ') as w from grams where size > 1 and f >= 10
+), cuts as materialized (
+  select lang, phrase, a, k, array_to_string(w[1:k], ' ') as front, array_to_string(w[k + 1:], ' ') as back
+  from candidates, (values (1), (2)) as v(k) where k < size
+), lefts as materialized (
+  select c.*, g.f as l from cuts c join grams g on g.lang = c.lang and g.phrase = c.front
+), scores as (
+  select c.*, g.f as r, (1000000::hugeint * a * a) // (l::hugeint * g.f) as score
+  from lefts c join grams g on g.lang = c.lang and g.phrase = c.back
+), lowest as (
+  select * from scores qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), longer as (
+  select lang, inner_phrase, max(a) as f
+  from (select lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) as inner_phrase from candidates where size = 3)
+  group by all
+), kept as (
+  select o.* from lowest o left join longer g on g.lang = o.lang and g.inner_phrase = o.phrase where g.f is null or 100 * g.f < 50 * o.a
+), totals as (
+  select lang, sum(len(w))::bigint as n from words group by lang
+)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score::bigint as score
+from kept join totals using (lang) qualify rank <= 2000
+"""
+
+
+def _lexical_sql() -> str:
+    words = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+    return f"""
+with docs as (
+  select doc_id, {words.format(_lower("text"))} as w from documents where text is not null
+), counted as (
+  select doc_id, len(w) as n, w from docs where len(w) > 0
+), stats as (
+  select count(*)::bigint as docs, sum(n)::bigint as length from counted
+), tfs as (
+  select doc_id, n, term, count(*)::bigint as tf from (select doc_id, n, unnest(w) as term from counted) group by all
+), dfs as (
+  select term, count(*) as df from tfs group by term
+), items as (
+  select item_id, unnest({words.format(_lower("text"))}) as term from benchmark where text is not null
+), scores as (
+  select item_id, doc_id,
+         sum(floor(1000 * ln((2 * docs + 2) / (2 * df + 1)::double))::bigint
+             * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // length))))::bigint as score
+  from items join tfs using (term) join dfs using (term), stats group by item_id, doc_id
+)
+select item_id, (row_number() over (partition by item_id order by score desc, doc_id))::int as rank, doc_id, score
+from scores where score > 0 qualify rank <= 20
+"""
+
+
+ORACLE = {
+    "op1_url_filter": _url_sql(),
+    "op4_license_scan": _license_sql(),
+    "op12_collocations": _collocation_sql(),
+    "op13_lexical_search": _lexical_sql(),
+}
