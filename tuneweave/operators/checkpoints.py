@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.naming import artifact_path, base_name, parent_path, resume_candidates
+from ..session import stored
 
 # File names that make a directory a checkpoint, and the state file.
 WEIGHT_FILES = [
@@ -72,14 +73,11 @@ def resolve_resume(requests: DataFrame, files: DataFrame, cwd: str = "/app") ->
     """
     tried = resume_candidates(F.col("requested"), F.col("default_path"), cwd)
     # The outer form keeps the optimizer from repeating the path expression in a filter of its own.
-    candidates = requests.select("request_id", F.posexplode_outer(tried).alias("rank", "target"))
-    plain = files.select(F.concat_ws("/", "dir", "file").alias("target"))
-    located = locate_checkpoints(files)
-    as_file = candidates.join(plain, "target", "left_semi").withColumn("checkpoint", F.col("target"))
-    as_dir = candidates.join(located, "target")
-    found = (
-        as_file.unionByName(as_dir).groupBy("request_id").agg(F.min_by("checkpoint", "rank").alias("checkpoint"))
-    )
+    candidates = stored(requests.select("request_id", F.posexplode_outer(tried).alias("rank", "target")), "candidates")
+    # A file stands for itself, a directory for the checkpoint it resolves to.
+    plain = F.concat_ws("/", "dir", "file")
+    targets = files.select(plain.alias("target"), plain.alias("checkpoint")).unionByName(locate_checkpoints(files))
+    found = candidates.join(targets, "target").groupBy("request_id").agg(F.min_by("checkpoint", "rank").alias("checkpoint"))
     status = (
         F.when(F.coalesce(F.col("requested"), F.lit("")).isin("", "null"), "not_requested")
         .when(F.col("checkpoint").isNull(), "not_found")

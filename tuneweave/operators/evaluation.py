@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank, token_count
@@ -29,8 +29,8 @@ def length_pass(generation: Column, max_sentences: Column) -> Column:
     return F.when(limit == 0, True).otherwise(sentence_count(generation) <= limit)
 
 
-def check_prompts(results: DataFrame, detected: DataFrame, keys: list[str], strict: bool = False) -> DataFrame:
-    """Prompt results with both checks and token totals.
+def check_prompts(results: DataFrame, detected: DataFrame, keys: list[str], strict: bool = False, keep: list[str] | None = None) -> DataFrame:
+    """Prompt results with both checks and token totals, and the columns of `results` named in `keep`.
 
     `results`: keys, instruction, generation, wanted, max_sentences, prompt_text.
     `detected`: keys, language. `tokens` counts prompt and generation.
@@ -39,6 +39,7 @@ def check_prompts(results: DataFrame, detected: DataFrame, keys: list[str], stri
     language = F.when(F.col("generation") == "", "unknown").otherwise(F.col("language"))
     return results.join(detected, keys, "left").select(
         *keys,
+        *(keep or []),
         "instruction",
         "generation",
         language_pass(language, F.col("wanted"), strict).alias("language_pass"),
@@ -63,6 +64,20 @@ def eval_summary(checked: DataFrame) -> DataFrame:
     )
 
 
+def worst_cases(checked: DataFrame, k: int, by: str, keys: list[str], parts: int = 64) -> DataFrame:
+    """`by, rank` and the other columns of `checked` for the `k` worst prompts of each language or other group `by`.
+
+    Worse is: fewer checks passed, then more tokens made, then the smaller keys. Each of `parts` parts of a language
+    gives its `k` worst first, so no language is gathered whole.
+    """
+    passed = F.coalesce(F.col("language_pass").cast("int"), F.lit(0)) + F.coalesce(F.col("length_pass").cast("int"), F.lit(0))
+    order = [F.asc("_passed"), F.desc_nulls_last("new_tokens"), *map(F.asc, keys)]
+    rows = checked.withColumn("_passed", passed).withColumn("_part", F.pmod(F.xxhash64(*keys), F.lit(parts)))
+    some = rows.withColumn("_r", F.row_number().over(Window.partitionBy(by, "_part").orderBy(*order))).where(F.col("_r") <= k)
+    ranked = some.withColumn("rank", F.row_number().over(Window.partitionBy(by).orderBy(*order))).where(F.col("rank") <= k)
+    return ranked.select(by, "rank", *[c for c in checked.columns if c != by])
+
+
 def generate(
     prompts: DataFrame,
     infer_fn: Callable[[Iterator[pd.Series]], Iterator[pd.Series]],

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
@@ -23,36 +24,6 @@ def vocabulary(train: DataFrame, text: str = "text") -> DataFrame:
     return words.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _token_runs(words: Column) -> Column:
-    """`array<struct<token, times>>`: each distinct token of an array and how often it is there."""
-
-    def runs(w: Column) -> Column:
-        size = F.size(w)
-        places = F.when(size > 0, F.sequence(F.lit(1), size)).otherwise(F.array().cast("array<int>"))
-        firsts = F.filter(places, lambda i: (i == 1) | (F.get(w, i - 1) != F.get(w, i - 2)))
-        return F.transform(F.array(firsts), lambda f: F.transform(
-            f,
-            lambda i, k: F.struct(
-                F.get(w, i - 1).alias("token"),
-                (F.coalesce(F.get(f, k + 1), size + 1) - i).cast("long").alias("times"),
-            ),
-        ))
-
-    # Arrays of one bind what is inside to a name, so that it is computed once.
-    return F.flatten(F.flatten(F.transform(F.array(F.array_sort(words)), runs)))
-
-
-def text_tokens(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Written once: `key, n_tokens, token, times` for the distinct tokens of a text after its first.
-
-    The text is split once and counted in place. A text of one token has one row, without a token.
-    """
-    split = df.select(key, tokens(F.col(text)).alias("_words")).where(F.size("_words") > 0)
-    rest = F.slice("_words", F.lit(2), F.size("_words"))
-    counted = split.select(key, F.size("_words").cast("long").alias("n_tokens"), _token_runs(rest).alias("_runs"))
-    return stored(counted.select(key, "n_tokens", F.inline_outer("_runs")), "tokens")
-
-
 def unigram_scores(df: DataFrame, vocab: DataFrame, key: str, text: str = "text") -> DataFrame:
     """`key, n_tokens, loss` under an add-one unigram model.
 
@@ -64,25 +35,30 @@ def unigram_scores(df: DataFrame, vocab: DataFrame, key: str, text: str = "text"
     and are looked up by broadcast. The others are joined by token and one of `SALTS` parts
     of the texts, so that a token common only in the scored texts does not go to one task.
     """
-    total = vocab.agg(F.sum("n")).scalar()
-    kinds = vocab.agg(F.count(F.lit(1))).scalar()
+    vocab = stored(vocab, "vocabulary")
+    total, kinds = vocab.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     model = vocab.select("token", "n", (F.col("n") * FREQUENT > total).alias("_frequent"))
     frequent = F.broadcast(model.where("_frequent").select("token", "n"))
     parts = F.sequence(F.lit(0), F.lit(SALTS - 1))
     rare = model.where(~F.col("_frequent")).select("token", "n", F.explode(parts).alias("_salt"))
+    cost = F.lit(math.log(total + kinds + 1)) - F.log(F.coalesce(F.col("n"), F.lit(0)) + 1)
 
-    words = text_tokens(df, key, text)
-    near = words.join(frequent, "token")
-    salted = words.join(frequent, "token", "left_anti").withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int"))
-    far = salted.join(rare, ["token", "_salt"], "left")
-    cost = F.log(total + kinds + 1) - F.log(F.coalesce(F.col("n"), F.lit(0)) + 1)
-    columns = [key, "n_tokens", "times", "n"]
-    return (
-        near.select(*columns)
-        .unionByName(far.select(*columns))
-        .groupBy(key)
-        .agg(F.max("n_tokens").alias("n_tokens"), (F.sum(cost * F.col("times")) / F.sum("times")).alias("loss"))
+    words = df.select(key, tokens(F.col(text)).alias("_words")).where(F.size("_words") > 0)
+    rest = F.slice("_words", F.lit(2), F.size("_words"))
+    each = words.select(key, F.size("_words").cast("long").alias("n_tokens"), F.explode_outer(rest).alias("token"))
+    # The frequent tokens of a text are summed where the text is; only the others are shuffled.
+    hit = F.col("n").isNotNull()
+    near = each.join(frequent, "token", "left").groupBy(key).agg(
+        F.max("n_tokens").alias("n_tokens"), F.sum(F.when(hit, cost)).alias("cost"), F.count_if(hit).alias("times")
+    )
+    others = each.where("token is not null").join(frequent, "token", "left_anti").select(key, "token")
+    salted = others.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int"))
+    far = salted.join(rare, ["token", "_salt"], "left").groupBy(key).agg(
+        F.lit(None).cast("long").alias("n_tokens"), F.sum(cost).alias("cost"), F.count(F.lit(1)).alias("times")
     )
+    sums = near.unionByName(far).groupBy(key)
+    loss = F.sum("cost") / F.nullif(F.sum("times"), F.lit(0))
+    return sums.agg(F.max("n_tokens").alias("n_tokens"), loss.alias("loss"))
 
 
 def score_texts(

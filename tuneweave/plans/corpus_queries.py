@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.chat import instruction_messages, prompt_messages, render_messages, select_template
+from ..functions.templates import render_by_template
 from ..functions.text import cutoff, is_blank, token_count
 from ..operators import conversations as chat
 from ..operators import sampling
+from ..operators.growing import GrowingSample
 from ..params import PrepareParams
 from ..session import scratch_path
 from ..sources import calibration, jsonl, sinks
@@ -126,6 +128,43 @@ def template_choice(spark, folder):
     return rendered.withColumn("template", select_template(own, default, model))
 
 
+# Three templates as tokenizers carry them in their own settings.
+OWN_TEMPLATES = [
+    "{{ bos_token }}{% for message in messages %}{{ '<|im_start|>' + message['role'] + '\n' + message['content'] | trim + '<|im_end|>' + '\n' }}{% endfor %}",
+    """{%- if messages[0].role == 'system' -%}
+    {%- set system = messages[0]['content'] | trim -%}
+    {%- set messages = messages[1:] -%}
+{%- else -%}
+    {%- set system = '' -%}
+{%- endif -%}
+{%- for message in messages -%}
+    {%- if message.role == 'user' -%}
+        {{- '[INST] ' }}{% if loop.first and system %}{{ '<<SYS>>' ~ system ~ '<</SYS>> ' }}{% endif %}{{ message.content.strip() ~ ' [/INST]' }}
+    {%- elif message.role == 'assistant' -%}
+        {{- ' ' ~ message.content | trim ~ ' ' ~ eos_token }}
+    {%- endif -%}
+{%- endfor -%}""",
+    """{% for message in messages if message['role'] != 'system' %}
+{{ loop.index }}. {{ message['role'].capitalize() if message['role'] in ['user', 'assistant'] else 'Other' }}: {{ message['content'] | upper }}
+{% if not loop.last %}
+---
+{% endif %}
+{% endfor %}
+{% if add_generation_prompt %}
+Assistant:
+{% endif %}
+""",
+]
+
+
+def own_templates(spark, folder):
+    """Each conversation under the template text that its row carries."""
+    texts = F.array(*[F.lit(t) for t in OWN_TEMPLATES])
+    rows = chat.assemble_conversations(turns(spark, folder)).withColumn("template", F.get(texts, (F.col("conv_id") % 3).cast("int")))
+    shown = render_by_template(rows, "template", "messages", bos_token="<s>", eos_token="</s>", add_generation_prompt=True)
+    return shown.select("conv_id", "text")
+
+
 def pair_messages(spark, folder):
     pairs = chat.turn_pairs(turns(spark, folder))
     extra = F.when(F.col("conv_id") % 2 == 0, "").otherwise(F.concat(F.lit("conversation "), F.col("conv_id").cast("string")))
@@ -187,6 +226,16 @@ def strict_load(spark, folder):
     return rows.select(F.regexp_extract("file", "split=([^/]+)", 1).alias("split"), "text")
 
 
+def located_rejects(spark, folder):
+    """Bad records of files of 1,000 documents each, by file and line."""
+    out = scratch_path(spark, "faulty")
+    rows = json_lines(spark, folder, False).withColumn("part", F.expr("doc_id div 1000"))
+    rows = rows.repartition("part").sortWithinPartitions("part", "doc_id")
+    rows.select("value", "part").write.partitionBy("part").text(out)
+    part = F.regexp_extract("file", "part=([0-9]+)", 1).cast("long").alias("part")
+    return jsonl.load_rejects(spark, out).select(part, "line_no", "value", "reason")
+
+
 def rejects(spark, folder):
     return jsonl.rejected_records(jsonl.check_records(json_lines(spark, folder, False))).select("doc_id", "reason")
 
@@ -236,6 +285,19 @@ def stream_prepare(spark, folder):
     return spark.read.parquet(out)
 
 
+def growing_sample(spark, folder):
+    """The corpus in three landings; each makes a version of the sample, and the last is split exactly."""
+    landing, state = scratch_path(spark, "corpus"), scratch_path(spark, "growing-state")
+    rows = documents(spark, folder).select("doc_id", "lang", "text")
+    kept = GrowingSample(spark, scratch_path(spark, "growing"), SAMPLE, "doc_id", SEED)
+    for i in range(3):
+        rows.where(F.col("doc_id") % 3 == i).write.mode("append").parquet(landing)
+        stream = jobs.follow_parquet(spark, landing, "*.parquet", rows.schema)
+        jobs.grow_sample(stream, kept, state).awaitTermination()
+    found = kept.rows().join(kept.splits(TEST_SIZE), "doc_id")
+    return found.select("doc_id", "lang", F.md5("text").alias("text_md5"), "split")
+
+
 QUERIES = {
     "read_instructions": corpus,
     "filter_language": language_filter,
@@ -245,12 +307,14 @@ QUERIES = {
     "sample_n": sample,
     "split_hash": split_by_hash,
     "split_exact": split_by_rank,
+    "growing_sample": growing_sample,
     "split_counts": count_splits,
     "preprocess_summary": summary,
     "assemble_conversations": conversations,
     "render_qwen": render_qwen,
     "render_fallback": render_fallback,
     "select_template": template_choice,
+    "own_templates": own_templates,
     "instruction_messages": pair_messages,
     "prompt_messages": prompts,
     "prepared_instructions": prepared_instructions,
@@ -259,6 +323,7 @@ QUERIES = {
     "write_summary": written_summary,
     "load_jsonl_strict": strict_load,
     "reject_records": rejects,
+    "load_rejects": located_rejects,
     "load_validation": validation_texts,
     "missing_splits": absent_splits,
     "load_calibration": calibration_rows,
@@ -346,6 +411,10 @@ ORACLE = {
       {sql_count('text')} > {CUTOFF} as was_cut from documents""",
     "sample_n": f"select doc_id, lang from documents order by md5('{SEED}:sample:' || doc_id), doc_id limit {SAMPLE}",
     "split_hash": f"select doc_id, {sql_split('doc_id')} as split from documents",
+    "growing_sample": f"""select doc_id, lang, md5(text) as text_md5,
+        case when row_number() over (order by md5('{SEED}:split:' || doc_id), doc_id) <= ceil(count(*) over () * {TEST_SIZE})
+          then 'validation' else 'train' end as split
+      from (select * from documents order by md5('{SEED}:sample:' || doc_id), doc_id limit {SAMPLE})""",
     "split_exact": f"""select doc_id, case when row_number() over (order by md5('{SEED}:split:' || doc_id), doc_id)
       <= ceil(count(*) over () * {TEST_SIZE}::double) then 'validation' else 'train' end as split from documents""",
     "split_counts": f"select {sql_split('doc_id')} as split, count(*) as n_rows from documents group by 1",
@@ -356,6 +425,26 @@ ORACLE = {
       string_agg({sql_qwen('role', 'text', 'turn')}, '' order by turn) as text from conversations group by 1""",
     "render_fallback": f"""select conv_id,
       string_agg({sql_fallback('role', 'text', 'turn', '', '<s>')}, '' order by turn) as text from conversations group by 1""",
+    "own_templates": r"""
+with turns as (
+  select conv_id, turn, role, text, regexp_replace(text, '^\s+|\s+$', '', 'g') as trimmed,
+         row_number() over (partition by conv_id order by turn) - 1 as at from conversations
+), shown as (
+  select conv_id, 0 as kind, turn, '<|im_start|>' || role || chr(10) || trimmed || '<|im_end|>' || chr(10) as part from turns where conv_id % 3 = 0
+  union all
+  select conv_id, 1, t.turn, case t.role
+      when 'user' then '[INST] ' || case when t.at = (case when s.conv_id is null then 0 else 1 end) and s.trimmed <> '' then '<<SYS>>' || s.trimmed || '<</SYS>> ' else '' end
+        || t.trimmed || ' [/INST]'
+      when 'assistant' then ' ' || t.trimmed || ' </s>' else '' end
+  from turns t left join (select conv_id, trimmed from turns where at = 0 and role = 'system') s using (conv_id) where conv_id % 3 = 1
+  union all
+  select conv_id, 2, turn, row_number() over w || '. ' || case when role in ('user', 'assistant') then upper(role[1]) || role[2:] else 'Other' end
+      || ': ' || upper(text) || chr(10) || case when row_number() over w = count(*) over (partition by conv_id) then '' else '---' || chr(10) end
+  from turns where conv_id % 3 = 2 and role <> 'system' window w as (partition by conv_id order by turn)
+)
+select conv_id, case conv_id % 3 when 0 then '<s>' else '' end || coalesce(string_agg(part, '' order by turn), '')
+    || case conv_id % 3 when 2 then 'Assistant:' || chr(10) else '' end as text
+from (select distinct conv_id from conversations) left join shown using (conv_id) group by conv_id""",
     "select_template": f"""select conv_id, {SQL_TEMPLATE} as template,
       string_agg(case when {SQL_TEMPLATE} = 'qwen' then {sql_qwen('role', 'text', 'turn')}
         else {sql_fallback('role', 'text', 'turn', EOS, '')} end, '' order by turn) as text
@@ -372,6 +461,11 @@ ORACLE = {
       from documents where doc_id % 12 <> 0""",
     "reject_records": """select doc_id, case when doc_id % 12 = 1 then 'invalid_json' else 'missing_text' end as reason
       from documents where doc_id % 12 in (1, 2, 3, 4, 5)""",
+    "load_rejects": """select part, line_no, case doc_id % 12 when 1 then '{"text": "cut off' when 2 then '{"text":1}'
+          when 3 then '{"text":null}' when 4 then '{"x":1}' else '["l"]' end as value,
+        case when doc_id % 12 = 1 then 'invalid_json' else 'missing_text' end as reason
+      from (select doc_id, doc_id // 1000 as part, row_number() over (partition by doc_id // 1000 order by doc_id) as line_no from documents)
+      where doc_id % 12 in (1, 2, 3, 4, 5)""",
     "load_validation": f"""select text from documents
       where {sql_split('doc_id')} = 'validation' and doc_id % 12 not in (0, 6)""",
     "missing_splits": """select split from (values ('train'), ('validation')) required(split)

@@ -87,6 +87,18 @@ def check_summary(spark, folder):
     )
 
 
+WORST = 3
+
+
+def worst(spark, folder):
+    """The worst prompts of each wanted language."""
+    results, keys = prompt_results(spark, folder), ["conv_id", "turn"]
+    results = results.withColumn("asked_for", F.coalesce(F.nullif("wanted", F.lit("")), F.lit("any")))
+    languages = language.detect_language(results, profile(spark, folder), CODES, keys, "generation")
+    found = evaluation.worst_cases(evaluation.check_prompts(results, languages, keys, keep=["asked_for"]), WORST, "asked_for", keys)
+    return found.select("asked_for", "rank", *keys, "language_pass", "length_pass", "tokens", "new_tokens")
+
+
 def generated(spark, folder):
     def answer_length(prompts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         """A model of known answers: how long the prompt is."""
@@ -106,6 +118,7 @@ QUERIES = {
     "model_scores": model_scores,
     "eval_prompts": checked,
     "eval_summary": check_summary,
+    "eval_worst": worst,
     "batch_generate": generated,
 }
 
@@ -170,6 +183,10 @@ ORACLE = {
         count(*) filter (length_pass) as n_length_pass, count(*) filter (language_pass and length_pass) as n_pass,
         round(avg(language_pass::int), 6) as language_pass_rate, round(avg(length_pass::int), 6) as length_pass_rate,
         max(tokens) as max_tokens, sum(new_tokens)::bigint as sum_new_tokens from ({SQL_CHECKED})""",
+    "eval_worst": f"""select asked_for, row_number() over (partition by asked_for order by passed, new_tokens desc, conv_id, turn)::int as rank,
+        conv_id, turn, language_pass, length_pass, tokens, new_tokens
+      from (select *, case conv_id % 4 when 0 then 'EN' when 1 then 'fr' else 'any' end as asked_for,
+        language_pass::int + length_pass::int as passed from ({SQL_CHECKED})) qualify rank <= {WORST}""",
     "batch_generate": f"""select item_id, prompt_text, 'length ' || length(prompt_text) as generation from (
       select item_id, {sql_qwen("'system'", "'You are a helpful assistant.'", '0')} || {sql_qwen("'user'", 'text', '1')} as prompt_text
       from benchmark)""",

@@ -10,7 +10,7 @@ from ..operators import logs, metrics
 from ..session import scratch_path
 from ..sources import sinks
 from ..sources.tables import spread, table
-from ..streaming import jobs
+from ..streaming import jobs, tail
 
 TAIL_LINES = 20
 TAIL_CHARS = 1000
@@ -164,6 +164,38 @@ def stream_routing(spark, folder):
     return parts[0].unionByName(parts[1])
 
 
+def stream_records(spark, folder):
+    """The log lines in three landings, a run of the stream after each, and the end of every source after the last."""
+    landing, out, state = (scratch_path(spark, n) for n in ("lines", "stitched", "stitched-state"))
+    lines = log_lines(spark, folder)
+    part = F.floor(3 * F.col("line_no") / ((lines.agg(F.max("line_no")).first()[0] or 0) + 1))
+    for i in range(3):
+        lines.where(part == i).write.mode("append").parquet(landing)
+        if i == 2:
+            last = F.lit(None).cast("string").alias("value")
+            ends = lines.groupBy("source").agg((F.max("line_no") + 1).alias("line_no")).select("source", "line_no", last)
+            ends.write.mode("append").parquet(landing)
+        stream = jobs.follow_parquet(spark, landing, "*.parquet", lines.schema)
+        jobs.write_stitched(stream, out, state).awaitTermination()
+    found = spark.read.parquet(out)
+    return found.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+
+
+def stream_tail(spark, folder):
+    """The log lines as files that the tail source follows, in two landings; lines are counted from 0 in each source."""
+    landing, out, state = (scratch_path(spark, n) for n in ("logs", "tail", "tail-state"))
+    lines = log_lines(spark, folder)
+    for i in range(2):
+        # A file is a part of a source's lines in order; a source with many lines goes to many files.
+        some = lines.where((F.col("line_no") / 4).cast("long") % 2 == i)
+        some = some.repartitionByRange("source", "line_no").sortWithinPartitions("source", "line_no")
+        some.select("source", "value").write.mode("append").partitionBy("source").text(landing)
+        stream = tail.follow(spark, landing, f"{state}-registry.json", pattern="part-*.txt")
+        jobs.append(stream, out, state, lambda s: s).awaitTermination()
+    run = F.regexp_extract("source", "source=([^/]+)/", 1).alias("run")
+    return spark.read.parquet(out).select(run, "value").groupBy("run", "value").agg(F.count("*").alias("n_lines"))
+
+
 QUERIES = {
     "read_log_records": records,
     "log_level_filter": warnings,
@@ -181,6 +213,8 @@ QUERIES = {
     "stream_metric_scalars": stream_scalars,
     "stream_metric_latest": stream_latest,
     "stream_log_routing": stream_routing,
+    "stream_log_records": stream_records,
+    "stream_log_tail": stream_tail,
 }
 
 SQL_LEVEL = "case event_type when 'error' then 'ERROR' when 'view' then 'DEBUG' when 'purchase' then 'WARNING' else 'INFO' end"
@@ -218,12 +252,16 @@ SQL_PROBE = """select user_id as source, event_id as line_no, case event_id % 4
   from (select *, upper(event_type) || '=' || event_id as word from events)"""
 SQL_SETTINGS = f"select * from ({SQL_PROBE}) where line_no % 4 in (1, 3)"
 
-ORACLE = {
-    "read_log_records": f"""select 'run-' || user_id as source, event_id * 4 as record, 0::bigint as segment,
+SQL_RECORDS = f"""select 'run-' || user_id as source, event_id * 4 as record, 0::bigint as segment,
         {SQL_STAMP} as ts, {SQL_LEVEL} as level, 'train' as logger,
         case when event_type = 'error' then array_to_string(list_concat([{SQL_MESSAGE}], {SQL_TRACE}), chr(10))
           else {SQL_MESSAGE} end as message
-      from (select * replace (value::varchar as value) from events)""",
+      from (select * replace (value::varchar as value) from events)"""
+
+ORACLE = {
+    "read_log_records": SQL_RECORDS,
+    "stream_log_records": SQL_RECORDS,
+    "stream_log_tail": f"select source as run, value, count(*) as n_lines from ({SQL_LINES}) group by 1, 2",
     "log_level_filter": f"""select 'run-' || user_id as source, event_id * 4 as record, {SQL_LEVEL} as level
       from events where event_type in ('error', 'purchase')""",
     "clean_log_text": "select event_id, event_type || chr(10) || event_id || chr(10) || 'end' as text from events",

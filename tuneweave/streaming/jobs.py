@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.logs import route
+from ..operators.growing import GrowingSample
+from ..operators.logs import LINES_PER_ROW, route
 from ..operators.metrics import latest_values, metric_events, metric_scalars
+from .records import stitch_stream
 
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -72,6 +74,21 @@ def write_routed(lines: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     )
 
 
+def write_stitched(lines: DataFrame, out: str, checkpoint: str, per_row: int = LINES_PER_ROW) -> StreamingQuery:
+    """Records stitched from the lines of a stream, without time-outs; see `streaming.records`."""
+    return append(stitch_stream(lines, per_row), out, checkpoint, lambda records: records)
+
+
+def grow_sample(stream: DataFrame, sample: GrowingSample, checkpoint: str) -> StreamingQuery:
+    """Each batch of a growing corpus becomes a version of its exact sample."""
+    return (
+        stream.writeStream.foreachBatch(sample.add)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def write_latest(
     stream: DataFrame, out: str, checkpoint: str, run: str = "source", position: str = "line_no"
 ) -> StreamingQuery:
