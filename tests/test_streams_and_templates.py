@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 from tuneweave.functions import chat
 from tuneweave.functions.templates import TemplateError, check_template, compile_template, render_by_template
-from tuneweave.operators import logs, sampling
+from tuneweave.operators import evaluation, logs, sampling
 from tuneweave.operators.growing import GrowingSample
+from tuneweave.params import PrepareParams
+from tuneweave.plans import prepare
 from tuneweave.plans.corpus_queries import OWN_TEMPLATES
+from tuneweave.sources import onefile
 from tuneweave.streaming import jobs, tail
 
 # The two templates whose built-in forms are `render_qwen` and `render_fallback`.
@@ -237,3 +240,38 @@ def test_the_increment_of_a_full_sample_is_filtered_by_its_last_row(spark, tmp_p
     kept.add(spark.range(100, 2000).withColumn("text", F.lit("y")), 1)
     entered = spark.read.parquet(str(tmp_path / "s" / "rows" / "version=1"))
     assert entered.count() <= 3 and re.fullmatch(r"[0-9a-f]{32}", kept.keys().first()["_hash"])
+
+
+def test_one_file_is_replaced_whole_or_not_at_all(spark, tmp_path):
+    path = tmp_path / "run" / "metadata.json"
+    row = spark.sql("select 2 as b, struct('é' as z, array(1) as a, cast(null as int) as n) as a")
+    onefile.write_one(row, str(path))
+    assert list(json.loads(path.read_text())["a"]) == ["a", "n", "z"] and os.listdir(path.parent) == ["metadata.json"]
+    before = path.read_text()
+    for bad in (row.union(row), row.limit(0), row.withColumn("c", F.raise_error(F.lit("stop")))):
+        with pytest.raises(Exception, match="takes one row|stop"):
+            onefile.write_one(bad, f"file:{path}")
+        assert path.read_text() == before and os.listdir(path.parent) == ["metadata.json"]
+    onefile.write_one(spark.sql("select 1 as only"), f"file://{path}")
+    assert json.loads(path.read_text()) == {"only": 1}
+
+
+@pytest.mark.parametrize(("size", "languages"), [(None, None), (2, ["en"]), (50, ["en", "fr"])])
+def test_figures_of_the_pass_that_writes(spark, tmp_path, size, languages):
+    rows = [(i, "q", None, ["text", "", None, " "][i % 4], ["en", "fr", None][i % 3]) for i in range(40)]
+    corpus = spark.createDataFrame(rows, "id long, instruction string, input string, output string, lang string")
+    params = PrepareParams(sample_size=size, languages=languages, seed=3)
+    prepared, figures = prepare.prepare_and_count(corpus, params)
+    prepared.write.parquet(str(tmp_path / "out"))
+    want = prepare.preprocess_summary(corpus, params)
+    assert prepare.observed_summary(spark, figures, params).select(want.columns).collect() == want.collect()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == want.first().sample_size
+
+
+def test_worst_cases(spark):
+    rows = [(i, i % 2, "x" if i % 10 else "y", i % 3 > 0, i % 5 > 0, i % 7) for i in range(200)]
+    checked = spark.createDataFrame(rows, "conv int, turn int, lang string, language_pass boolean, length_pass boolean, new_tokens int")
+    got = evaluation.worst_cases(checked, 3, "lang", ["conv", "turn"], parts=4).collect()
+    for lang in "xy":
+        own = sorted((a + b, -n, c, t) for c, t, l, a, b, n in rows if l == lang)[:3]
+        assert sorted((r.rank, r.conv) for r in got if r.lang == lang) == [(i, o[2]) for i, o in enumerate(own, 1)]

@@ -15,10 +15,10 @@ from ..operators import sampling
 from ..operators.growing import GrowingSample
 from ..params import PrepareParams
 from ..session import scratch_path
-from ..sources import calibration, jsonl, sinks
+from ..sources import calibration, jsonl, onefile, sinks
 from ..sources.tables import filter_language, read_instructions, spread, table
 from ..streaming import jobs
-from .prepare import prepare_chat, prepare_instructions, prepare_rows, preprocess_summary
+from .prepare import observed_summary, prepare_and_count, prepare_chat, prepare_instructions, prepare_rows, preprocess_summary
 
 SEED = 215
 TEST_SIZE = 0.2
@@ -204,6 +204,18 @@ def written_summary(spark, folder):
     return rows.withColumn("kept_languages", F.array_join("kept_languages", ","))
 
 
+def summary_file(spark, folder):
+    """The corpus is prepared and written, and the figures of that pass become one `metadata.json`."""
+    out, path = scratch_path(spark, "prepared"), scratch_path(spark, "run") + "/metadata.json"
+    rows, figures = prepare_and_count(corpus(spark, folder), PARAMS)
+    sinks.write_splits(rows, out)
+    found = observed_summary(spark, figures, PARAMS)
+    onefile.write_one(found.select(F.struct(*found.columns).alias("preprocess")), path)
+    schema = "preprocess struct<discarded long, kept_languages array<string>, sample_size long, seed long>"
+    kept = spark.read.schema(schema).option("multiLine", True).json(path).select("preprocess.*")
+    return kept.withColumn("kept_languages", F.array_join("kept_languages", ","))
+
+
 def json_lines(spark, folder, good_only: bool) -> DataFrame:
     """Documents as JSON lines; unless `good_only`, with faults planted by `doc_id`."""
     docs = documents(spark, folder).select(
@@ -321,6 +333,7 @@ QUERIES = {
     "prepared_chat": prepared_chat,
     "write_splits": written_splits,
     "write_summary": written_summary,
+    "write_summary_file": summary_file,
     "load_jsonl_strict": strict_load,
     "reject_records": rejects,
     "load_rejects": located_rejects,
@@ -457,6 +470,7 @@ from (select distinct conv_id from conversations) left join shown using (conv_id
     "prepared_chat": SQL_CHAT,
     "write_splits": f"select text, split from ({SQL_PREPARED})",
     "write_summary": SQL_SUMMARY,
+    "write_summary_file": SQL_SUMMARY,
     "load_jsonl_strict": f"""select {sql_split('doc_id')} as split, case when doc_id % 12 = 6 then '' else text end as text
       from documents where doc_id % 12 <> 0""",
     "reject_records": """select doc_id, case when doc_id % 12 = 1 then 'invalid_json' else 'missing_text' end as reason

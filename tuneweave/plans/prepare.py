@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.chat import instruction_turns, render_turns
@@ -76,6 +76,34 @@ def prepare_chat(turns: DataFrame, params: PrepareParams, tokenizer: Load | None
     return done.withColumnRenamed("id", "conv_id")
 
 
+def prepare_and_count(corpus: DataFrame, params: PrepareParams, tokenizer: Load | None = None) -> tuple[DataFrame, Observation]:
+    """`prepare_instructions` and the figures of `preprocess_summary`, counted by the pass that reads the corpus.
+
+    The observation has its values after the first action on the rows; see `observed_summary`. It counts
+    the rows read and kept and the languages of those kept.
+    """
+    figures = Observation("preprocess")
+    kept = ~is_blank(F.col("output"))
+    if params.languages is not None:
+        kept = kept & F.col("lang").isin([code.lower() for code in params.languages])
+    lang = F.col("lang") if "lang" in corpus.columns else F.lit(None).cast("string")
+    counted = corpus.observe(
+        figures,
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.coalesce(kept, F.lit(False))).alias("n_kept"),
+        F.array_sort(F.collect_set(F.when(kept, lang))).alias("kept_languages"),
+    )
+    return prepare_instructions(counted, params, tokenizer), figures
+
+
+def observed_summary(spark: SparkSession, figures: Observation, params: PrepareParams) -> DataFrame:
+    """The row of `preprocess_summary` from an observation."""
+    found = figures.get
+    size = found["n_kept"] if params.sample_size is None else min(found["n_kept"], params.sample_size)
+    row = (size, found["kept_languages"], found["n"] - found["n_kept"], params.seed)
+    return spark.createDataFrame([row], "sample_size long, kept_languages array<string>, discarded long, seed long")
+
+
 def preprocess_summary(corpus: DataFrame, params: PrepareParams, text: str = "output") -> DataFrame:
     """Rows in, kept and discarded, the languages kept and the seed, in one pass."""
     kept = ~is_blank(F.col(text))
