@@ -145,7 +145,7 @@ OWN_TEMPLATES = [
     {%- endif -%}
 {%- endfor -%}""",
     """{% for message in messages if message['role'] != 'system' %}
-{{ loop.index }}. {{ message['role'].capitalize() if message['role'] in ['user', 'assistant'] else 'Other' }}: {{ message['content'] | upper }}
+{{ loop.index }}. {{ message['role'].capitalize() if message['role'] in ['user', 'assistant'] else 'Other' }}: {{ message['content'] | lower }}
 {% if not loop.last %}
 ---
 {% endif %}
@@ -441,18 +441,18 @@ ORACLE = {
     "own_templates": r"""
 with turns as (
   select conv_id, turn, role, text, regexp_replace(text, '^\s+|\s+$', '', 'g') as trimmed,
-         row_number() over (partition by conv_id order by turn) - 1 as at from conversations
+         row_number() over (partition by conv_id order by turn) - 1 as place from conversations
 ), shown as (
   select conv_id, 0 as kind, turn, '<|im_start|>' || role || chr(10) || trimmed || '<|im_end|>' || chr(10) as part from turns where conv_id % 3 = 0
   union all
   select conv_id, 1, t.turn, case t.role
-      when 'user' then '[INST] ' || case when t.at = (case when s.conv_id is null then 0 else 1 end) and s.trimmed <> '' then '<<SYS>>' || s.trimmed || '<</SYS>> ' else '' end
+      when 'user' then '[INST] ' || case when t.place = (case when s.conv_id is null then 0 else 1 end) and s.trimmed <> '' then '<<SYS>>' || s.trimmed || '<</SYS>> ' else '' end
         || t.trimmed || ' [/INST]'
       when 'assistant' then ' ' || t.trimmed || ' </s>' else '' end
-  from turns t left join (select conv_id, trimmed from turns where at = 0 and role = 'system') s using (conv_id) where conv_id % 3 = 1
+  from turns t left join (select conv_id, trimmed from turns where place = 0 and role = 'system') s using (conv_id) where conv_id % 3 = 1
   union all
   select conv_id, 2, turn, row_number() over w || '. ' || case when role in ('user', 'assistant') then upper(role[1]) || role[2:] else 'Other' end
-      || ': ' || upper(text) || chr(10) || case when row_number() over w = count(*) over (partition by conv_id) then '' else '---' || chr(10) end
+      || ': ' || lower(text) || chr(10) || case when row_number() over w = count(*) over (partition by conv_id) then '' else '---' || chr(10) end
   from turns where conv_id % 3 = 2 and role <> 'system' window w as (partition by conv_id order by turn)
 )
 select conv_id, case conv_id % 3 when 0 then '<s>' else '' end || coalesce(string_agg(part, '' order by turn), '')
