@@ -52,16 +52,8 @@ def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bpe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    path, pattern = vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    coded = docs.select("doc_id", bpe.encode(path, pattern)("text").alias("ids"))
-    both = coded.select("doc_id", "ids", bpe.decode(path, pattern)("ids").alias("decoded"))
-    return both.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    return bpe.round_trip(docs, vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 def license_query(spark: SparkSession, sf_dir: str) -> DataFrame:
