@@ -9,7 +9,6 @@ are never duplicates. Repeated ids that reach the third stage keep one row.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tuneweave.llm import language_id, ngram_join, packing, quality
 from tuneweave.llm.common import table
@@ -17,29 +16,16 @@ from tuneweave.llm.queries import vocabulary
 from tuneweave.session import stored
 
 
-def _columns(df: DataFrame) -> list:
-    return [F.col(f"`{c}`") for c in df.columns]
-
-
-def _text_only(docs: DataFrame) -> DataFrame:
-    """The documents as one struct beside id and text, so that no column of theirs can clash with a result."""
-    return docs.select("doc_id", "text", F.struct(*_columns(docs)).alias("_document"))
-
-
-def _unpacked(df: DataFrame) -> DataFrame:
-    return df.select("_document.*")
-
-
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that fail the base rules or score below the threshold against this stage's own input."""
     ratios = quality.log_ratios(docs, table(spark, sf_dir, "labels"))
-    return _unpacked(quality.judge(_text_only(docs), ratios).where("kept"))
+    return quality.kept(docs, ratios)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without an identifiable language."""
     model = language_id.fit(docs.where(~language_id.held_out("doc_id")))
-    return _unpacked(language_id.identify(_text_only(docs), model).where(F.col("lang_pred") != language_id.UNKNOWN))
+    return language_id.identified(docs, model)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +33,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     found = ngram_join.join(docs.select("doc_id", "text"))
     kept = stored(found.where("component_id = doc_id").select("doc_id").distinct(), "kept")
     chosen = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return chosen.select(*_columns(docs)).unionByName(docs.where("doc_id is null"))
+    return docs.where("doc_id is null").unionByName(chosen)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

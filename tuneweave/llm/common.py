@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 
@@ -34,6 +35,28 @@ def with_result(df: DataFrame, result, fields: dict[str, str]) -> DataFrame:
     )
 
 
+# Bytes of one Arrow batch: a batch is held by the JVM and by the worker, both as it is sent and as it is built.
+BATCH = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """`df`, whose session sends batches of at most BATCH bytes to Python from now on, if it sent larger ones."""
+    held = df.sparkSession.conf.get(_BATCH_SETTING).lower().removesuffix("b")
+    if not held.isdigit() or int(held) > BATCH:
+        df.sparkSession.conf.set(_BATCH_SETTING, str(BATCH))
+    return df
+
+
+def release() -> None:
+    """Gives memory that is no longer used back to the machine: workers share an executor's with its JVM."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # not a GNU system
+
+
 def map_batches(df: DataFrame, schema: str, function: Callable[[Iterator[dict]], Iterator[dict]]) -> DataFrame:
     """mapInArrow over dicts of columns: `function` gets {name: pyarrow array} and yields {name: values}."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -50,8 +73,22 @@ def map_batches(df: DataFrame, schema: str, function: Callable[[Iterator[dict]],
                 for f in arrow
             ]
             yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+            release()
+
+    return bounded(df).mapInArrow(run, fields)
+
+
+def kept_rows(docs: DataFrame, load: Callable[[], Callable[[str | None], bool]]) -> DataFrame:
+    """The rows of `docs` whose text the loaded function accepts, with all their columns: each row passes Arrow once."""
+    at = [c.lower() for c in docs.columns].index("text")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        accept = load()
+        for batch in batches:
+            yield batch.filter(pa.array([accept(t.as_py()) for t in batch.column(at)], pa.bool_()))
+            release()
 
-    return df.mapInArrow(run, fields)
+    return bounded(docs).mapInArrow(run, docs.schema)
 
 
 def letters(text: str) -> bool:

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tuneweave.llm.common import four_grams, letters, with_result
+from tuneweave.llm.common import four_grams, kept_rows, letters, with_result
 
 BITS = 12
 PER_LANGUAGE = 800
@@ -142,22 +142,21 @@ def train(features: np.ndarray, langs: list[str]) -> LanguageModel:
 def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, sample: int = SAMPLE) -> LanguageModel:
     """Fit on (doc_id, text, lang); only the features of the bounded sample reach the driver."""
     usable = labelled.where("lang is not null and text is not null and doc_id is not null")
-    order = F.xxhash64("doc_id")
-    ranked = usable.select("doc_id", "lang", order.alias("o")).withColumn(
-        "r", F.row_number().over(Window.partitionBy("lang").orderBy("o", "doc_id"))
-    )
-    chosen = ranked.where(F.col("r") <= per_language).orderBy("r", "lang").limit(sample).select("doc_id").distinct()
+    # The rows of smallest hash of each of 64 parts of a language, then of the language: none is gathered whole.
+    first = ["o", "doc_id", "t"]
+    keyed = usable.select("doc_id", "lang", F.xxhash64("doc_id").alias("o"), F.xxhash64("text").alias("t")).distinct()
+    parts = keyed.withColumn("r", F.row_number().over(Window.partitionBy("lang", F.pmod("t", F.lit(64))).orderBy(*first)))
+    ranked = parts.where(F.col("r") <= per_language).withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(*first)))
+    chosen = ranked.where(F.col("r") <= per_language).orderBy("r", "lang", *first).limit(sample).select("doc_id", "lang", "t")
 
     @F.pandas_udf("binary")
     def features(texts: pd.Series) -> pd.Series:
         return pd.Series([frequencies(t).astype("<f4").tobytes() if letters(t) else None for t in texts], dtype=object)
 
-    rows = (
-        usable.join(F.broadcast(chosen), "doc_id", "left_semi")
-        .select("lang", features("text").alias("x"))
-        .where("x is not null")
-        .collect()
-    )
+    # Repeated rows have one hash and count once.
+    found = usable.withColumn("t", F.xxhash64("text")).join(F.broadcast(chosen), ["doc_id", "lang", "t"], "left_semi")
+    found = found.select("doc_id", "lang", "t", features("text").alias("x")).where("x is not null")
+    rows = found.groupBy("doc_id", "lang", "t").agg(F.first("x").alias("x")).collect()
     if not rows:
         return LanguageModel([], {}, np.zeros((0, (1 << BITS) + 1), np.float32), [])
     rows.sort(key=lambda r: (r["lang"], bytes(r["x"])))
@@ -169,6 +168,12 @@ def held_out(key: str) -> Column:
     return F.coalesce(F.crc32(F.col(key).cast("string")) % 3 == 1, F.lit(False))
 
 
+def identified(docs: DataFrame, model: LanguageModel) -> DataFrame:
+    """The rows of `docs` with a language, with the columns of `docs`."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return kept_rows(docs, lambda: lambda text: shared.value.predict(text)[0] != UNKNOWN)
+
+
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """`docs` with lang_pred and score."""
     shared = docs.sparkSession.sparkContext.broadcast(model)

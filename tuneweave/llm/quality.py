@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tuneweave.llm.common import four_grams, map_batches, with_result
+from tuneweave.llm.common import four_grams, kept_rows, map_batches, with_result
 
 BITS = 14
 TRUSTED = 20_000
@@ -123,6 +123,19 @@ def score(text: str | None, ratios: np.ndarray) -> float:
     return total / n
 
 
+def verdict(text: str | None, ratios: np.ndarray, threshold: float = THRESHOLD) -> tuple:
+    """Base counts, base_failed, score and kept of a text."""
+    counts = base_counts(text)
+    bad, value = failed(counts[0], counts[4]), score(text, ratios)
+    return (*counts, bad, value, not bad and value >= threshold)
+
+
+def kept(docs: DataFrame, ratios: np.ndarray, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of `docs` that `judge` keeps, with the columns of `docs`."""
+    shared = docs.sparkSession.sparkContext.broadcast(ratios)
+    return kept_rows(docs, lambda: lambda text: verdict(text, shared.value, threshold)[-1])
+
+
 def judge(docs: DataFrame, ratios: np.ndarray, threshold: float = THRESHOLD) -> DataFrame:
     """`docs` with the base counts, base_failed, score and kept."""
     shared = docs.sparkSession.sparkContext.broadcast(ratios)
@@ -130,14 +143,8 @@ def judge(docs: DataFrame, ratios: np.ndarray, threshold: float = THRESHOLD) ->
 
     @F.pandas_udf(fields)
     def judged(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        own = shared.value
         for texts in batches:
-            rows = []
-            for t in texts:
-                counts = base_counts(t)
-                bad, value = failed(counts[0], counts[4]), score(t, own)
-                rows.append((*counts, bad, value, not bad and value >= threshold))
-            yield pd.DataFrame(rows, columns=[*BASE, "base_failed", "score", "kept"])
+            yield pd.DataFrame([verdict(t, shared.value, threshold) for t in texts], columns=[*BASE, "base_failed", "score", "kept"])
 
     names = [*BASE, "base_failed", "score", "kept"]
     return with_result(docs, judged("text"), {n: n for n in names})
