@@ -13,9 +13,9 @@
    overlap is too small for a link, or when all below it is one component already.
    This first runs on bitmaps alone; classes that are left without a partner drop out.
 4. The classes that remain are compared exactly, walking the trees again. First each class
-   meets those that share its largest block with it, which joins large groups of near copies.
-   Then all blocks, and pairs of blocks of one shingle, that still hold more than one component
-   are walked, and the pairs left between components are compared.
+   meets those that share its largest block with it, which joins large groups of near copies; pairs
+   that met are settled. Then all blocks, and pairs of blocks of one shingle, with a pair that is still open
+   between components are compared. Pairs stay inside their task: only links that join components leave it.
 
 Shingles are compared by 64-bit hashes and sets by 128-bit hashes. No block,
 partner or candidate is capped.
@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tuneweave.llm.common import map_batches
@@ -45,6 +45,7 @@ FREQUENT = 2.0**-16
 BLOCK, LONGEST_BLOCK = 256, 1024
 FANOUT = 8
 WIDEST = 1 << 15  # bits of a bitmap; the bound stays valid for larger sets
+ROUNDS = 2
 PAIRS = 1 << 15  # node pairs compared at a time
 GROUP = 1 << 20  # shingles counted at a time
 
@@ -334,7 +335,10 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def open_pairs(groups: list[list[tuple]], percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of members that may link, and the labels; members are (fp, label, n, map, ...), of one group or of two."""
+    """Pairs of members that may link, and the labels; members are (fp, label, n, map, homes, ...), of one group or of two.
+
+    Homes are the groups in which a class met all others at home there, round by round: pairs that share one are settled.
+    """
     members = [m for g in groups for m in g]
     number: dict[bytes, int] = {}
     labels = np.array([number.setdefault(m[1], len(number)) for m in members], dtype=np.int64)
@@ -344,13 +348,19 @@ def open_pairs(groups: list[list[tuple]], percent: int) -> tuple[np.ndarray, np.
         trees.append(Tree([m[3] for m in g], [m[2] for m in g], labels[at : at + len(g)], width))
         at += len(g)
     i, j = walk(trees[0], trees[-1], len(groups) == 1, percent)
-    return i, j + (len(groups[0]) if len(groups) > 1 else 0), labels
+    j = j + (len(groups[0]) if len(groups) > 1 else 0)
+    for homes in zip(*(m[4] or () for m in members)):
+        seen: dict[bytes, int] = {}
+        home = np.array([seen.setdefault(h, len(seen)) for h in homes], dtype=np.int64)
+        apart = home[i] != home[j]
+        i, j = i[apart], j[apart]
+    return i, j, labels
 
 
 def links_within(groups: list[list[tuple]], percent: int) -> Iterator[tuple[bytes, bytes]]:
     """Links that join the components of one block, or of the two given blocks: a forest, found exactly.
 
-    Members are (fp, label, n, map, hashes), sorted by size.
+    Members are (fp, label, n, map, homes, hashes), sorted by size.
     """
     members = [m for g in groups for m in g]
     i, j, labels = open_pairs(groups, percent)
@@ -361,7 +371,7 @@ def links_within(groups: list[list[tuple]], percent: int) -> Iterator[tuple[byte
         one = int(i[start])
         others = j[start:end]
         for other in others[labels[others] != labels[one]].tolist():
-            if labels[other] != labels[one] and linked(members[one][4], members[other][4], percent):
+            if labels[other] != labels[one] and linked(members[one][5], members[other][5], percent):
                 yield members[one][0], members[other][0]
                 labels[labels == labels[other]] = labels[one]
 
@@ -389,16 +399,18 @@ def by_group(rows: DataFrame) -> DataFrame:
 
 
 def sift(members: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
-    """Written once: (id, side, fp) of the members that the trees leave with a partner; equal groups are one.
+    """Written once: (id, side, fp) of the members that the trees leave with a partner in another component; equal groups are one.
 
-    `members` has (id, side, fp, label); a group has one side or two.
+    `members` has (id, side, fp, label, homes); a group has one side or two. Only groups of more than one component are walked.
     """
     from xxhash import xxh3_128_digest
 
-    rows = by_group(members.join(maps, "fp").select("id", "side", "fp", "label", "n", "map"))
+    mixed = members.groupBy("id").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l != h").select("id")
+    rows = members.join(mixed, "id", "left_semi").join(maps, "fp")
+    rows = by_group(rows.select("id", "side", "fp", "label", "n", "map", "homes"))
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
-        for groups in groups_of(batches, ["fp", "label", "n", "map"]):
+        for groups in groups_of(batches, ["fp", "label", "n", "map", "homes"]):
             fps = [m[0] for g in groups for m in g]
             if len(fps) < 2:
                 continue
@@ -416,38 +428,27 @@ def sift(members: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
     return stored(sides.select("id", "side", F.explode("fps").alias("fp")), "sifted")
 
 
-def open_links(members: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
-    """Written once: groups (id, side, fp, label) of a class and the partners that the trees leave it in other components.
-
-    Only groups of more than one component are walked. A pair found in several groups is kept once, under its smaller class.
-    """
-    mixed = members.groupBy("id").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l != h").select("id")
-    rows = members.join(mixed, "id", "left_semi").join(maps, "fp").select("id", "side", "fp", "label", "n", "map")
+def nowhere() -> Column:
+    return F.array().cast("array<binary>")
 
-    def run(batches: Iterator[dict]) -> Iterator[dict]:
-        for groups in groups_of(batches, ["fp", "label", "n", "map"]):
-            own = [m for g in groups for m in g]
-            i, j, _ = open_pairs(groups, percent)
-            ends = [sorted((own[a][:2], own[b][:2])) for a, b in zip(i.tolist(), j.tolist())]
-            if ends:
-                yield {"a": [e[0][0] for e in ends], "la": [e[0][1] for e in ends], "b": [e[1][0] for e in ends], "lb": [e[1][1] for e in ends]}
 
-    pairs = map_batches(by_group(rows), "a binary, la binary, b binary, lb binary", run).dropDuplicates(["a", "b"])
-    pairs = stored(pairs, "open")
-    heads = pairs.select(F.col("a").alias("id"), F.lit(0).alias("side"), F.col("a").alias("fp"), F.col("la").alias("label")).distinct()
-    return heads.unionByName(pairs.select(F.col("a").alias("id"), F.lit(1).alias("side"), F.col("b").alias("fp"), F.col("lb").alias("label")))
+def at_home(members: DataFrame) -> DataFrame:
+    """(fp, home): the largest group of each class, so that large groups of near copies meet in one place."""
+    sizes = members.groupBy("id").agg(F.count("*").alias("size"))
+    chosen = members.join(sizes, "id").groupBy("fp").agg(F.max(F.struct("size", "id")).alias("m"))
+    return chosen.select("fp", F.col("m.id").alias("home"))
 
 
 def compare(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Written once: links (a, b) between the classes of each group of `members` (id, side, fp, label).
+    """Written once: links (a, b) between the classes of each group of `members` (id, side, fp, label, homes).
 
-    Texts travel instead of sets, as they are less than half as large.
+    What is emitted is a forest, whatever the number of pairs that are compared. Texts travel instead of sets, as they are less than half as large.
     """
-    rows = by_group(members.join(texts, "fp").select("id", "side", "fp", "label", "n", "text"))
+    rows = by_group(members.join(texts, "fp").select("id", "side", "fp", "label", "n", "text", "homes"))
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
-        for groups in groups_of(batches, ["fp", "label", "n", "text"]):
-            full = [[(*m[:3], signature(t := shingles(m[3], size)[0]), t) for m in g] for g in groups]
+        for groups in groups_of(batches, ["fp", "label", "n", "text", "homes"]):
+            full = [[(*m[:3], signature(t := shingles(m[3], size)[0]), m[4], t) for m in g] for g in groups]
             found = list(links_within(full, percent)) if sum(map(len, full)) > 1 else []
             if found:
                 yield {"a": [f[0] for f in found], "b": [f[1] for f in found]}
@@ -475,14 +476,16 @@ def live_texts(docs: DataFrame, classes: DataFrame, live: DataFrame, size: int)
     return stored(map_batches(texts.select("text", "want"), "fp binary, n long, text string", run), "live")
 
 
-def labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """`members` with the component of each class as label."""
+def labelled(members: DataFrame, labels: DataFrame, homes: DataFrame | None = None) -> DataFrame:
+    """`members` with the component of each class as label, and its homes so far."""
     known = labels.select(F.col("vertex").alias("fp"), "component")
-    return members.join(known, "fp", "left").select("id", "side", "fp", F.coalesce("component", "fp").alias("label"))
+    rows = members.join(known, "fp", "left")
+    rows = rows.join(homes, "fp", "left") if homes is not None else rows.withColumn("homes", nowhere())
+    return rows.select("id", "side", "fp", F.coalesce("component", "fp").alias("label"), "homes")
 
 
-def block_pairs(blocks: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Members (id, side, fp, label) of pairs of blocks of one shingle with fitting sizes that are not one component already."""
+def labelled_pairs(blocks: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Members (id, side, fp, label, homes) of pairs of blocks of one shingle with fitting sizes that are not one component already."""
     parts = blocks.where("part").select("key", "id", "low", "high").distinct()
     one, two = parts.alias("one"), parts.alias("two")
     pairs = (
@@ -504,7 +507,7 @@ def block_pairs(blocks: DataFrame, labels: DataFrame, percent: int) -> DataFrame
     sides = left.select(name, F.col("first").alias("id"), F.lit(0).alias("s")).unionByName(
         left.select(name, F.col("second").alias("id"), F.lit(1).alias("s"))
     )
-    return sides.join(members, "id").select(F.col("pair").alias("id"), F.col("s").alias("side"), "fp", "label")
+    return sides.join(members, "id").select(F.col("pair").alias("id"), F.col("s").alias("side"), "fp", "label", "homes")
 
 
 def link_components(docs: DataFrame, classes: DataFrame, size: int, percent: int, often: np.ndarray) -> DataFrame:
@@ -514,24 +517,32 @@ def link_components(docs: DataFrame, classes: DataFrame, size: int, percent: int
     maps = routed.select("fp", "n", "map").dropDuplicates(["fp"])
     inside = blocks.groupBy("id").agg(F.first("fps").alias("fps")).where(F.size("fps") > 1)
     inside = inside.select("id", F.lit(0).alias("side"), F.explode("fps").alias("fp"))
-    inside = sift(inside.select("id", "side", "fp", F.col("fp").alias("label")), maps, percent)
+    inside = sift(inside.select("id", "side", "fp", F.col("fp").alias("label"), nowhere().alias("homes")), maps, percent)
     texts = live_texts(docs, classes, inside.select("fp").distinct(), size)
 
-    # First each class meets those that share its largest block with it: one text of each class travels.
-    sizes = inside.groupBy("id").agg(F.count("*").alias("size"))
-    chosen = inside.join(sizes, "id").groupBy("fp").agg(F.max(F.struct("size", "id")).alias("m"))
-    first = chosen.select(F.col("m.id").alias("id"), F.lit(0).alias("side"), "fp", F.col("fp").alias("label"))
-    found = compare(first, texts, size, percent)
-    labels = components(found)
-
-    # Then the pairs that the trees leave open between components, each once.
-    more = compare(open_links(labelled(inside, labels), maps, percent), texts, size, percent)
-    found = found.unionByName(more)
-    labels = components(found)
-
-    across = sift(block_pairs(blocks, labels, percent), maps, percent)
+    # In each round a class meets those that share its largest open group with it: one text of each class travels.
+    # The last round takes all groups in which a pair is still open.
+    found = labels = homes = None
+    groups = inside
+    for left in reversed(range(ROUNDS)):
+        members = groups.withColumn("label", F.col("fp")).withColumn("homes", nowhere()) if labels is None else labelled(groups, labels, homes)
+        if left:
+            home = at_home(groups)
+            own = home.select("fp", F.array("home").alias("homes"))
+            homes = own if homes is None else homes.join(home, "fp", "left").select("fp", F.concat("homes", F.array(F.coalesce("home", "fp"))).alias("homes"))
+            homes = stored(homes, "homes")
+            members = members.join(home.withColumnRenamed("home", "id"), ["fp", "id"], "left_semi")
+        more = compare(members, texts, size, percent)
+        found = more if found is None else found.unionByName(more)
+        labels = components(found)
+        if left:
+            groups = sift(labelled(inside, labels, homes), maps, percent)
+            if groups.isEmpty():
+                break
+
+    across = sift(labelled_pairs(blocks, labels, percent), maps, percent)
     apart = live_texts(docs, classes, across.select("fp").distinct().join(inside.select("fp").distinct(), "fp", "left_anti"), size)
-    last = compare(open_links(labelled(across, labels), maps, percent), texts.unionByName(apart), size, percent)
+    last = compare(labelled(across, labels), texts.unionByName(apart), size, percent)
     return components(found.unionByName(last))
 
 
