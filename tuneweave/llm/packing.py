@@ -17,10 +17,7 @@ from __future__ import annotations
 
 import json
 import os
-import re
-import sys
 import zlib
-from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -30,19 +27,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tuneweave.llm.common import map_batches
+from tuneweave.llm.vectors import Coder, binary, byte_array, ranges, space_chunks, steps
 from tuneweave.session import stored
 
 WIDTH = 1024
 SEPARATOR = 0
 TOKENISED = "doc_id long, part long, local long, doc_tokens long, ids binary"
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-# Characters handed to the tokenizer at once.
-BATCH = 1 << 20
-
-
-# Chunks between spaces whose ids a worker remembers.
-CACHE = 700_000
-_uncut = re.compile(r"\s (?!\S)").search
 _encoders: dict[str, Callable] = {}
 
 
@@ -56,23 +47,8 @@ def context_free(path: str) -> bool:
     return usual and plain and spec.get("normalizer") is None
 
 
-def little(ids: list[int]) -> bytes:
-    held = array("I", ids)
-    if sys.byteorder == "big":
-        held.byteswap()
-    return held.tobytes()
-
-
-def stem_of(chunk: str) -> tuple[str, bool]:
-    """The chunk without points and commas after a Latin letter, and whether it had none."""
-    if chunk[-1:] not in (".", ","):
-        return chunk, True
-    stem = chunk.rstrip(".,")
-    return (stem, False) if stem and stem[-1] < "\u0250" and stem[-1].isalpha() else (chunk, True)
-
-
-def load_tokenizer(path: str) -> Callable[[list[str]], list[bytes]]:
-    """Encoder of texts by a tokenizers file to little-endian 32-bit ids, one per worker process.
+def load_tokenizer(path: str) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
+    """Function from texts to all their ids in a row and the number of each, by a tokenizers file; one per worker process.
 
     The library's own threads stay off, as Spark runs the tasks in parallel. With
     byte-level BPE a text is the chain of its chunks that begin with a space, unless a
@@ -82,86 +58,34 @@ def load_tokenizer(path: str) -> Callable[[list[str]], list[bytes]]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        own = Tokenizer.from_file(path)
-
-        def whole(texts: list[str]) -> list[bytes]:
-            return [little(e.ids) for e in own.encode_batch_fast(texts, add_special_tokens=False)]
-
-        known: dict[str, bytes] = {}
-        ends: dict[str, bytes] = {"": b""}
-
-        def learn(chunks: set[str]) -> None:
-            """Ids of chunks after a space; points and commas after a letter are pre-tokens of their own."""
-            stems = {c: c if plain else stem for c in chunks for stem, plain in [stem_of(c)]}
-            listed = list(set(stems.values()).difference(known))
-            known.update(zip(listed, whole([" " + c for c in listed])))
-            for c, stem in stems.items():
-                if c != stem:
-                    end = c[len(stem) :]
-                    if end not in ends:
-                        ends[end] = whole([end])[0]
-                    known[c] = known[stem] + ends[end]
-
-        def by_chunks(texts: list[str]) -> list[bytes]:
-            free = [None if _uncut(t) else t.split(" ") for t in texts]
-            # The first chunk of a text has no space before it, the others have.
-            heads = [c[0] for c in free if c]
-            fresh = set().union(*(c[1:] for c in free if c))
-            new = fresh.difference(known)
-            if len(known) + len(new) > CACHE:
-                known.clear()
-                ends.clear()
-                new = fresh
-            learn(new)
-            first = iter(whole(heads + [t for t, c in zip(texts, free) if c is None]))
-            starts = [next(first) for _ in heads]
-            rest, begun, out = list(first)[::-1], iter(starts), []
-            for chunks in free:
-                if chunks is None:
-                    out.append(rest.pop())
-                else:
-                    out.append(next(begun) + b"".join(map(known.__getitem__, chunks[1:])))
-            return out
-
-        _encoders[path] = by_chunks if context_free(path) else whole
-    return _encoders[path]
+        own, free = Tokenizer.from_file(path), context_free(path)
+        coder = Coder(lambda chunks: [e.ids for e in own.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)])
 
+        def run(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+            n = len(texts)
+            return coder.ids(*space_chunks(texts), n) if free else coder.ids(texts.cast(pa.large_binary()).fill_null(b""), np.arange(n), n)
 
-def groups(texts: list[str]) -> Iterator[list[str]]:
-    """Runs of texts of about BATCH characters, in order."""
-    held, size = [], 0
-    for text in texts:
-        held.append(text)
-        size += len(text)
-        if size >= BATCH:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
+        _encoders[path] = run
+    return _encoders[path]
 
 
-def tokenised(docs: DataFrame, load: Callable[[], Callable[[list[str]], list[bytes]]], separator: int = SEPARATOR) -> DataFrame:
+def tokenised(docs: DataFrame, load: Callable, separator: int = SEPARATOR) -> DataFrame:
     """Ids (little-endian, 32 bits) of every document with the offset inside its partition, written once."""
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         encode, part, local = load(), TaskContext.get().partitionId(), 0
-        end = separator.to_bytes(4, "little")
-        for batch in batches:
-            at, keys = 0, batch["doc_id"]
-            for texts in groups([t or "" for t in batch["text"].to_pylist()]):
-                data, offsets = [], []
-                for ids in encode(texts):
-                    data.append(ids + end)
-                    offsets.append(local)
-                    local += len(ids) // 4 + 1
-                yield {
-                    "doc_id": keys.slice(at, len(texts)),
-                    "part": [part] * len(texts),
-                    "local": offsets,
-                    "doc_tokens": [len(d) // 4 for d in data],
-                    "ids": data,
-                }
-                at += len(texts)
+        for batch in steps(batches, "text"):
+            ids, lengths = encode(batch["text"])
+            ids = np.insert(ids, np.cumsum(lengths), np.uint32(separator))
+            ends = np.append(0, np.cumsum(lengths + 1))
+            yield {
+                "doc_id": batch["doc_id"],
+                "part": np.full(len(lengths), part),
+                "local": local + ends[:-1],
+                "doc_tokens": lengths + 1,
+                "ids": binary(ids.astype("<u4"), 4 * ends),
+            }
+            local += int(ends[-1])
 
     return stored(map_batches(docs.select("doc_id", "text"), TOKENISED, run), "tokenised")
 
@@ -173,7 +97,7 @@ def bases(tokens: DataFrame) -> DataFrame:
     return totals.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
 
 
-def pack(docs: DataFrame, load: Callable[[], Callable[[list[str]], list[bytes]]], width: int = WIDTH, separator: int = SEPARATOR) -> DataFrame:
+def pack(docs: DataFrame, load: Callable, width: int = WIDTH, separator: int = SEPARATOR) -> DataFrame:
     """One row per piece of a document in a sequence of `width` ids.
 
     Only the bases are broadcast: one row of 16 bytes per input partition, so
@@ -186,29 +110,23 @@ def pack(docs: DataFrame, load: Callable[[], Callable[[list[str]], list[bytes]]]
 
     def cut(batches: Iterator[dict]) -> Iterator[dict]:
         for batch in batches:
-            row, start, length, crc = [], [], [], []
-            firsts = batch["first"].to_pylist()
-            for i, (first, ids) in enumerate(zip(firsts, batch["ids"])):
-                data = memoryview(ids.as_buffer())
-                at, n = 0, len(data) // 4
-                while at < n:
-                    size = min(width - (first + at) % width, n - at)
-                    row.append(i)
-                    start.append(at)
-                    length.append(size)
-                    crc.append(zlib.crc32(data[4 * at : 4 * (at + size)]))
-                    at += size
-            take = pa.array(row, pa.int64())
-            starts = np.array(start, dtype=np.int64)
-            places = np.array(firsts, dtype=np.int64)[np.array(row, dtype=np.int64)] + starts if row else starts
+            first, n = batch["first"].to_numpy(), batch["doc_tokens"].to_numpy()
+            count = (first + n - 1) // width - first // width + 1
+            row = np.repeat(np.arange(len(n)), count)
+            sequence = first[row] // width + ranges(np.zeros(len(n), np.int64), count)
+            start = np.maximum(sequence * width - first[row], 0)
+            length = np.minimum((sequence + 1) * width - first[row], n[row]) - start
+            data, ends = byte_array(batch["ids"])
+            data, at = memoryview(np.ascontiguousarray(data)), (ends[row] + 4 * start).tolist()
+            take = pa.array(row)
             yield {
                 "doc_id": batch["doc_id"].take(take),
-                "start": starts,
+                "start": start,
                 "length": length,
-                "ids_crc32": crc,
+                "ids_crc32": [zlib.crc32(data[i : i + size]) for i, size in zip(at, (4 * length).tolist())],
                 "doc_tokens": batch["doc_tokens"].take(take),
-                "sequence_id": places // width,
-                "offset": places % width,
+                "sequence_id": sequence,
+                "offset": first[row] + start - sequence * width,
             }
 
     return map_batches(placed, PIECES, cut)

@@ -9,9 +9,9 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes of text that one vectorised step takes; a longer text is a step of its own.
-STEP = 4 << 20
+STEP = 2 << 20
 # Bytes of ids and chunks that a worker remembers.
-CACHE = 96 << 20
+CACHE = 64 << 20
 SPACE = 0x20
 
 
@@ -72,14 +72,29 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(total, dtype=np.int64)
 
 
+_letter = np.array([i < 128 and chr(i).isalpha() for i in range(256)])
+_point = np.array([chr(i) in ".,;:!?" for i in range(256)])
+# Second bytes of U+00C0 to U+00FF without the signs for multiplication and division.
+_latin = np.array([0x80 <= i < 0xC0 and i not in (0x97, 0xB7) for i in range(256)])
+
+
+def after_letters(data: np.ndarray) -> np.ndarray:
+    """Which bytes are points, commas and the like right after a letter of Latin-1: there the usual patterns always cut."""
+    marks = _point[data]
+    at = np.flatnonzero(marks)
+    before, earlier = data[np.maximum(at - 1, 0)], data[np.maximum(at - 2, 0)]
+    marks[at] = (at > 0) & (_letter[before] | (at > 1) & _latin[before] & (earlier == 0xC3))
+    return marks
+
+
 class Words:
     """Words of many texts: maximal stretches of bytes that `table` does not map to a separator.
 
     `table` maps each byte to the byte that words are compared by. Bytes mapped to a space separate
-    words, those mapped to `cut` separate pieces as well.
+    words, those mapped to `cut` separate pieces as well. With `points`, points after a letter begin a word too.
     """
 
-    def __init__(self, values: pa.Array, table: bytes, cut: int | None = None):
+    def __init__(self, values: pa.Array, table: bytes, cut: int | None = None, points: bool = False):
         data, ends = byte_array(values)
         data = np.frombuffer(data.tobytes().translate(table), np.uint8)
         inside = data != SPACE
@@ -89,6 +104,8 @@ class Words:
         first[1:] &= ~inside[:-1]
         begins = ends[:-1][ends[:-1] < ends[1:]]
         first[begins] = inside[begins]
+        if points:
+            first |= after_letters(data)
         starts = np.flatnonzero(first)
         self.text = np.searchsorted(ends, starts, "right") - 1
         # Bytes of words in a row: the place of a start among them ends the word before.
@@ -111,7 +128,7 @@ _long_space = re.compile(r"\s (?!\S)").search
 
 
 def space_chunks(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """Chunks that begin with a space or their text, and the text of each.
+    """Chunks that begin with a space, a point after a letter or their text, and the text of each.
 
     For patterns by which a space belongs to what follows it, unless it stands between other
     white space: texts with such a space are one chunk, whole.
@@ -126,7 +143,12 @@ def space_chunks(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     whole = np.zeros(len(ends) - 1, bool)
     for t in np.unique(owner[before & after]):
         whole[t] = _long_space(data[ends[t] : ends[t + 1]].tobytes().decode("utf-8", "replace")) is not None
-    starts = np.union1d(spaces[~whole[owner]], ends[:-1][ends[:-1] < ends[1:]])
+    points = np.flatnonzero(after_letters(data))
+    points = points[~whole[np.searchsorted(ends, points, "right") - 1]]
+    first = np.zeros(len(data), bool)
+    for at in (spaces[~whole[owner]], points, ends[:-1][ends[:-1] < ends[1:]]):
+        first[at] = True
+    starts = np.flatnonzero(first)
     return binary(data, np.append(starts, len(data))), np.searchsorted(ends, starts, "right") - 1
 
 
