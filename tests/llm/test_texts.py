@@ -76,6 +76,67 @@ def test_bpe_equals_the_library(spark):
         assert bytes(r.data) == (TRICKY[r.doc_id] or "").encode()
 
 
+def test_bpe_digests_in_one_pass(spark):
+    import tiktoken
+
+    path, pattern = vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    docs = frame(spark, [*TRICKY, *TRICKY]).selectExpr("doc_id % 15 as doc_id", "text", "1 as ids", "'x' as N_TOKENS").repartition(3)
+    rows = bpe.round_trip(docs, path, pattern).collect()
+    assert len(rows) == 2 * len(TRICKY)
+    for r in rows:
+        text = TRICKY[r.doc_id] or ""
+        ids = own.encode_ordinary(text)
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
+    assert bpe.round_trip(docs.limit(0), path, pattern).collect() == []
+
+
+def test_bpe_equals_the_library_on_random_texts():
+    """Chunks between spaces and before points, merges and remembered pairs, against the library."""
+    import random
+
+    import pyarrow as pa
+    import tiktoken
+
+    path, pattern = vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    own, rnd = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), random.Random(9)
+    alphabet = "abcdefghijklmnopqrstuvwxyzABC  .,;'!?\n\t0123éèñóüß日本🙂  \u0301\u00d7\u2003"
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randrange(80))) for _ in range(3000)]
+    ids, lengths = bpe.codec(path, pattern).encode_texts(pa.array(texts))
+    ends = np.append(0, np.cumsum(lengths))
+    assert all(ids[i:j].tolist() == own.encode_ordinary(t) for t, i, j in zip(texts, ends, ends[1:]))
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_chunked_encoding_equals_the_library_on_random_texts(name):
+    import random
+
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from tuneweave.llm import token_files
+
+    own, rnd = Tokenizer.from_file(vocabulary(name)), random.Random(4)
+    parts = [*"abcdeABCÉéñß日🙂'.,;:!?-_<|>  \n\t\r\x0b\x1c\u00a0\u0301\u00d7\u212a\u0130", "<|endoftext|>", "'s", "n't", "  ", " \n", "..."]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randrange(60))) for _ in range(3000)]
+    run = packing.load_tokenizer(vocabulary(name)) if name[:4] == "byte" else token_files.load_tokenizer(vocabulary(name))
+    ids, lengths = run(pa.array(texts))
+    ends = np.append(0, np.cumsum(lengths))
+    last = [] if name[:4] == "byte" else [2]
+    bad = [t for t, i, j in zip(texts, ends, ends[1:]) if ids[i:j].tolist() != own.encode(t, add_special_tokens=False).ids + last]
+    assert not bad, bad[:3]
+
+
+def test_packing_of_repeated_ids_and_clashing_columns(spark):
+    path = vocabulary("byte_bpe_50k.json")
+    docs = frame(spark, ["a b c", "a b c", None]).selectExpr("7L as doc_id", "text", "'x' as ids", "1 as Start", "2 as part")
+    rows = packing.pack(docs, lambda: packing.load_tokenizer(path)).collect()
+    assert [r.doc_id for r in rows] == [7, 7, 7] and sorted(r.doc_tokens for r in rows) == [1, 4, 4]
+
+
 def test_perfect_hash_is_minimal():
     keys = [f"k{i}".encode() for i in range(3000)]
     table = bpe.PerfectHash(keys)
