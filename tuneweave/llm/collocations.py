@@ -38,6 +38,8 @@ TRIGGER = 16
 INSIDE = 50
 TOP = 2000
 BITS = 24
+# Bytes of text taken at a time: each word of them has some ten numbers in memory.
+STEP = 2 << 20
 CUT = 0x0A
 # A-Z are lower-cased, tabs are spaces, punctuation and line ends are one byte that cuts.
 TABLE = bytes(CUT if i in b".,;:!?\n\x0b\x0c\r" else 0x20 if i == 9 else i for i in range(256)).lower()
@@ -73,7 +75,7 @@ def parse(docs: DataFrame, longest: int = LONGEST, trigger: int = TRIGGER) -> Da
     """Distinct chunks of each language with their frequencies; `last` chunks end a piece and overlap no other."""
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
-        for batch in steps(batches, "text"):
+        for batch in steps(batches, "text", STEP):
             words = Words(batch["text"], TABLE, CUT)
             n = words.count
             if not n:
@@ -122,7 +124,7 @@ def counted(chunks: DataFrame, size: int, longest: int, known: tuple[np.ndarray,
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         bits, width = shared.value if shared is not None else (None, 0)
-        for batch in steps(batches, "chunk"):
+        for batch in steps(batches, "chunk", STEP):
             words = Words(batch["chunk"], _words)
             number, distinct, listed = hashes(words.values)
             per = np.bincount(words.text, minlength=len(batch["chunk"]))
