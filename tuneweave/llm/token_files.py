@@ -76,11 +76,15 @@ def load_tokenizer(path: str, end: int = END) -> Callable[[pa.Array], tuple[np.n
         def encode(chunks: list[bytes]) -> list[list[int]]:
             return [e.ids for e in own.encode_batch_fast([c.decode("utf-8") for c in chunks], add_special_tokens=False)]
 
-        coder, table, words = Coder(encode, end), to_spaces(b" \t\n\r"), drops_white_space(path)
+        coder, words = Coder(encode, end), drops_white_space(path)
+        table = to_spaces(b" \t\n\r")
+        added = [t.content.encode().lower() for t in own.get_added_tokens_decoder().values()]
 
         def run(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             if words:
-                found = Words(texts, table)
+                # The tokenizer lower-cases all but its added tokens: capitals need not make words distinct.
+                low = byte_array(texts)[0].tobytes().lower()
+                found = Words(texts, table if any(a in low for a in added) else table.lower(), points=True)
                 return coder.ids(found.values, found.text, len(texts))
             return coder.ids(texts.cast(pa.large_binary()).fill_null(b""), np.arange(len(texts)), len(texts))
 
