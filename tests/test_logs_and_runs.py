@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from tuneweave import session
 from tuneweave.functions import naming
 from tuneweave.operators import checkpoints, logs, metrics, runs, stages
-from tuneweave.plans import log_queries
+from tuneweave.plans import corpus_queries, log_queries
+from tuneweave.plans.prepare import prepare_rows
 from tuneweave.session import scratch_path, stored
 from tuneweave.sources import calibration, jsonl, listing, sinks
+from tuneweave.sources.tables import read_instructions
 from tuneweave.streaming import jobs
 
 PARTS = [1, 4, 64]
@@ -478,3 +480,17 @@ def test_reuse(spark):
     rows = spark.createDataFrame([("d", 1), ("d", 2)], "dataset string, size int")
     prints = rows.withColumn("fingerprint", stages.fingerprint(F.col("dataset"), F.col("size")))
     assert [r["size"] for r in stages.not_prepared(prints, prints.where("size = 1")).collect()] == [2]
+
+
+def test_prepared_stream_reads_a_table_of_one_or_many_files(spark, tmp_path):
+    texts = ["one two", " ", "three", "four five"] * 3
+    rows = [(i, "web", ["en", "fr", "de"][i % 3], t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, lang string, text string")
+    df.repartition(3).write.parquet(str(tmp_path / "many" / "documents.parquet"))
+    df.coalesce(1).write.parquet(str(tmp_path / "parts"))
+    (tmp_path / "one").mkdir()
+    next((tmp_path / "parts").glob("*.parquet")).rename(tmp_path / "one" / "documents.parquet")
+    want = prepare_rows(read_instructions(df, corpus_queries.MAPPING), corpus_queries.PARAMS)
+    for name in ("many", "one"):
+        got = corpus_queries.stream_prepare(spark, str(tmp_path / name))
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))

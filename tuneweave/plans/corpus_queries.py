@@ -290,9 +290,10 @@ def calibration_report(spark, folder):
 
 
 def stream_prepare(spark, folder):
-    schema = spark.read.parquet(f"{folder}/documents.parquet").schema
+    """The table is one file or a folder of files; a pattern lists both, a plain path must be a folder for a stream."""
+    schema = table(spark, folder, "documents").schema
     out, state = scratch_path(spark, "prepared"), scratch_path(spark, "prepared-state")
-    stream = jobs.follow_parquet(spark, folder, "documents.parquet", schema)
+    stream = jobs.follow_parquet(spark, f"{folder}/documents.parque[t]", "*", schema)
     jobs.append(stream, out, state, lambda s: prepare_rows(read_instructions(s, MAPPING), PARAMS)).awaitTermination()
     return spark.read.parquet(out)
 
