@@ -202,6 +202,21 @@ def test_tail_splits_and_renamed_files(tmp_path):
         list(reader.read(splits[0]))
 
 
+def test_tail_reads_many_small_files_in_few_tasks(tmp_path):
+    for i in range(600):
+        (tmp_path / f"run-{i}.log").write_text(f"a{i}\nb{i}\n")
+    reader = tail.TailReader({"path": str(tmp_path), "registry": str(tmp_path / "reg.json"), "pattern": "*.log"})
+    first = json.loads(json.dumps(reader.latestOffset()))
+    tasks = reader.partitions({}, first)
+    assert len(tasks) <= 4
+    got = {(os.path.basename(r[0]), r[1], r[2]) for t in tasks for r in reader.read(t)}
+    assert got == {(f"run-{i}.log", at, text) for i in range(600) for at, text in ((0, f"a{i}"), (len(f"a{i}") + 1, f"b{i}"))}
+    with (tmp_path / "run-7.log").open("a") as file:
+        file.write("c\n")
+    later = reader.partitions(first, json.loads(json.dumps(reader.latestOffset())))
+    assert [r[2] for t in later for r in reader.read(t)] == ["c"]
+
+
 @pytest.mark.parametrize("n", [7, 500])
 def test_growing_sample_equals_the_sample_of_all_rows(spark, tmp_path, n):
     rnd = random.Random(n)

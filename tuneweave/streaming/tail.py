@@ -7,8 +7,9 @@ are to be counted. A line belongs to a batch once its line feed is written; a ha
 A file is known by device and inode, so a renamed file goes on where it was. Its `source` is the path it was first
 seen at; a new file at that path (rotation) and a file that got shorter (truncation) go on in the
 same source behind the bytes before. Writers must have left a file before it is rotated. Each
-batch cuts what was appended into splits of at most `split` bytes, one task each; the driver only looks at the
-sizes of files and at their last bytes. Files must be reachable by path from driver and executors.
+batch cuts what was appended into splits of at most `split` bytes, and a task reads one of them or several small
+ones; the driver only looks at the sizes of files and at the last bytes of those that grew. Files must be
+reachable by path from driver and executors.
 
     spark.dataSource.register(LogTail)
     spark.readStream.format("log_tail").option("path", folder).option("registry", file).load()
@@ -23,7 +24,7 @@ import fnmatch
 import json
 import os
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,6 +32,8 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 
 SPLIT = 64 << 20
 WINDOW = 1 << 16
+# Bytes that opening a file counts as when small splits are put together.
+OPEN_COST = 1 << 18
 
 
 @dataclass
@@ -42,6 +45,7 @@ class Split(InputPartition):
     start: int
     stop: int
     end: int
+    more: tuple[Split, ...] = ()  # small splits of other files, read by the same task
 
 
 def local(path: str) -> str:
@@ -103,7 +107,8 @@ class TailReader(DataSourceStreamReader):
             if own is None or size < own["end"]:
                 source = own["source"] if own else path
                 own = {"source": source, "base": ends.get(source, 0), "end": 0}
-            own["end"] = last_line_end(path, own["end"], size)
+            if size > own["end"]:
+                own["end"] = last_line_end(path, own["end"], size)
             ends[own["source"]] = max(ends.get(own["source"], 0), own["base"] + own["end"])
             owners[key] = own
             out[key] = {"path": path, **own}
@@ -114,17 +119,37 @@ class TailReader(DataSourceStreamReader):
         return out
 
     def partitions(self, start: dict, end: dict) -> list[Split]:
-        splits = []
+        splits: list[Split] = []
+        small: list[Split] = []
+        room = self.split
+
+        def pack() -> None:
+            if small:
+                splits.append(replace(small[0], more=tuple(small[1:])))
+                small.clear()
+
         for key, own in sorted(end.items()):
             before = start.get(key)
             # A shorter file is read from its beginning.
             at = before["end"] if before and before["base"] == own["base"] else 0
-            for stop in range(at, own["end"], self.split):
-                splits.append(Split(own["path"], key, own["source"], own["base"], stop, min(stop + self.split, own["end"]), own["end"]))
+            for start_at in range(at, own["end"], self.split):
+                stop = min(start_at + self.split, own["end"])
+                found = Split(own["path"], key, own["source"], own["base"], start_at, stop, own["end"])
+                cost = stop - start_at + OPEN_COST
+                if cost > room:
+                    pack()
+                    room = self.split
+                small.append(found)
+                room -= cost
+        pack()
         return splits
 
     def read(self, split: Split) -> Iterator[tuple]:
-        """The lines that begin in the split."""
+        """The lines that begin in the split, and in those put together with it."""
+        for one in (split, *split.more):
+            yield from self.lines(one)
+
+    def lines(self, split: Split) -> Iterator[tuple]:
         with self.opened(split) as file:
             at = split.start
             if at:
