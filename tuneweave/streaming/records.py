@@ -14,8 +14,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -24,70 +23,75 @@ from ..operators.logs import HEADER, LINES_PER_ROW, RECORD
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 EXPIRY = 3_600_000
 STITCHED = "source string, record long, segment long, stamp string, level string, logger string, message string"
-OPEN = "record long, first long, segment long, stamp string, level string, logger string, flushed boolean"
+OPEN = "record long, first long, segment long, stamp string, level string, logger string, flushed boolean, lines array<string>"
 
+_stitched = Row("source", "record", "segment", "stamp", "level", "logger", "message")
 _header = re.compile(HEADER, re.ASCII).match
 _record = re.compile(RECORD.replace(r"\z", r"\Z"), re.ASCII).match
 
 
 class Stitcher(StatefulProcessor):
+    """One value per source holds its open record and the lines of it that have not left.
+
+    Sources are many and mostly short, so a source costs one read and one write of state in a batch.
+    """
+
     def __init__(self, per_row: int, timeout: int | None, expiry: int):
         self.per_row, self.timeout, self.expiry = per_row, timeout, expiry
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.open = handle.getValueState("open", OPEN)
-        self.lines = handle.getListState("lines", "value string")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values("line_no", kind="stable")
-        held = self.open.get() if self.open.exists() else None
-        state = None if held is None else list(held)
-        pending = [r[0] for r in self.lines.get()] if state is not None else []
-        out: list[tuple] = []
-        for line_no, value in zip(batch["line_no"].tolist(), batch["value"].tolist()):
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        batch = sorted(((r["line_no"], r["value"]) for r in rows), key=lambda line: line[0])
+        held = self.open.get()
+        state, pending = self._opened(held)
+        out: list[Row] = []
+        for line_no, value in batch:
             if value is None:
-                self._close(state, pending, out)
+                self._close(key, state, pending, out)
                 state, pending = None, []
                 continue
             if _header(value):
-                self._close(state, pending, out)
+                self._close(key, state, pending, out)
                 state, pending = [line_no, line_no, 0, "", "", "", False], []
             elif state is None:
                 state = [None, line_no, 0, None, None, None, False]
             segment = (line_no - state[1]) // self.per_row
             if segment != state[2]:
-                self._close(state, pending, out)
+                self._close(key, state, pending, out)
                 state[2], pending = segment, []
             pending.append(value)
         self._forget_timers()
-        if state is None:
-            self.open.clear()
-            self.lines.clear()
-        else:
+        if state is not None:
             state[6] = False
-            self.open.update(tuple(state))
-            self.lines.put([(v,) for v in pending])
+            self.open.update((*state, pending))
             if self.timeout is not None:
                 self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.timeout)
-        yield self._frame(key, out)
+        elif held is not None:
+            self.open.clear()
+        return iter(out)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         """First the open lines leave, and their record may still go on; then the source is forgotten."""
-        out: list[tuple] = []
-        if self.open.exists():
-            state = list(self.open.get())
+        out: list[Row] = []
+        state, pending = self._opened(self.open.get())
+        if state is not None:
             if state[6]:
                 self.open.clear()
             else:
-                self._close(state, [r[0] for r in self.lines.get()], out)
+                self._close(key, state, pending, out)
                 state[6] = True
-                self.open.update(tuple(state))
+                self.open.update((*state, []))
                 self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.expiry)
-            self.lines.clear()
-        yield self._frame(key, out)
+        return iter(out)
+
+    @staticmethod
+    def _opened(held: tuple | None) -> tuple[list | None, list[str]]:
+        return (None, []) if held is None else (list(held[:-1]), list(held[-1]))
 
-    def _close(self, state: list | None, pending: list[str], out: list[tuple]) -> None:
+    def _close(self, key, state: list | None, pending: list[str], out: list[Row]) -> None:
         """The pending lines of a source become a row."""
         if not pending:
             return
@@ -98,20 +102,13 @@ class Stitcher(StatefulProcessor):
             found = _record(text)
             state[3:6] = found.groups()[:3] if found else ("", "", "")
             message = found.group(4) if found else ""
-        out.append((record, segment, *state[3:6], message))
+        out.append(_stitched(key[0], record, segment, *state[3:6], message))
 
     def _forget_timers(self) -> None:
         if self.timeout is not None:
             for at in list(self.handle.listTimers()):
                 self.handle.deleteTimer(at)
 
-    @staticmethod
-    def _frame(key, out: list[tuple]) -> pd.DataFrame:
-        names = ["record", "segment", "stamp", "level", "logger", "message"]
-        frame = pd.DataFrame(out, columns=names).astype({"record": "Int64", "segment": "int64", **{n: "object" for n in names[2:]}})
-        frame.insert(0, "source", key[0])
-        return frame
-
     def close(self) -> None:
         pass
 
@@ -125,7 +122,7 @@ def stitch_stream(lines: DataFrame, per_row: int = LINES_PER_ROW, timeout: int |
     stitched = (
         lines.select("source", "line_no", "value")
         .groupBy("source")
-        .transformWithStateInPandas(Stitcher(per_row, timeout, expiry), STITCHED, "Append", "None" if timeout is None else "ProcessingTime")
+        .transformWithState(Stitcher(per_row, timeout, expiry), STITCHED, "Append", "None" if timeout is None else "ProcessingTime")
     )
     stamp = F.try_to_timestamp("stamp", F.lit("yyyy-MM-dd HH:mm:ss")).alias("ts")
     return stitched.select("source", "record", "segment", stamp, "level", "logger", "message")
