@@ -494,3 +494,24 @@ def test_prepared_stream_reads_a_table_of_one_or_many_files(spark, tmp_path):
     for name in ("many", "one"):
         got = corpus_queries.stream_prepare(spark, str(tmp_path / name))
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_checkpoints_are_found_in_one_shuffle_of_plain_rows(spark):
+    rows = [
+        ("r/a", "trainer_state.json"), ("r/a/checkpoint-9", "model.safetensors"), ("r/a/checkpoint-10", "adapter_model.bin"),
+        ("r/a/checkpoint-10", "adapter_model.bin"), ("r/a/checkpoint-10", "model.safetensors"), ("r/a/checkpoint-x", "model.safetensors"),
+        ("r/b", "trainer_state.json"), ("r/b", "model.safetensors"), ("r/b/checkpoint-3", "model.safetensors"), ("r/c", "trainer_state.json"),
+        ("r/d", "other"), ("r/e", None), ("checkpoint-7", "model.safetensors"), ("r/f/checkpoint-2", "model.safetensors"),
+        ("r/f/checkpoint-02", "model.safetensors"),
+    ]
+    files = spark.createDataFrame(rows, "dir string, file string")
+    found, valid = checkpoints.locate_checkpoints(files), checkpoints.valid_checkpoints(files)
+    for df in (found, valid):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        # The rows are shuffled as they are: no aggregate below the exchange.
+        assert plan.count("Exchange ") == 1 and "Aggregate" not in plan[plan.index("Exchange ") :]
+    ones = {"r/a/checkpoint-9", "r/a/checkpoint-10", "r/a/checkpoint-x", "r/b/checkpoint-3", "r/f/checkpoint-2", "r/f/checkpoint-02"}
+    want = {d: d for d in ones | {"r/b", "r/c", "checkpoint-7"}}
+    want |= {"r/a": "r/a/checkpoint-10", "r/f": "r/f/checkpoint-2"}
+    assert {r.target: r.checkpoint for r in found.collect()} == want and found.count() == len(want)
+    assert sorted(r.dir for r in valid.collect()) == sorted({d for d, f in rows if f in checkpoints.WEIGHT_FILES})

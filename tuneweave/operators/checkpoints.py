@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.naming import artifact_path, base_name, parent_path, resume_candidates
+from ..functions.naming import artifact_path, resume_candidates
 from ..session import stored
 
 # File names that make a directory a checkpoint, and the state file.
@@ -22,42 +22,51 @@ WEIGHT_FILES = [
 STATE_FILE = "trainer_state.json"
 
 
-def directories(files: DataFrame) -> DataFrame:
-    """`dir, is_checkpoint, has_state`."""
-    return files.groupBy("dir").agg(
-        F.bool_or(F.col("file").isin(WEIGHT_FILES)).alias("is_checkpoint"),
-        F.bool_or(F.col("file") == STATE_FILE).alias("has_state"),
+def valid_checkpoints(files: DataFrame) -> DataFrame:
+    weights = files.where(F.col("file").isin(WEIGHT_FILES)).select("dir")
+    # Nearly all directories differ: they are shuffled first, not gathered in tables of the scanning tasks.
+    return weights.repartition("dir").distinct()
+
+
+def _options(dir_: Column, file: Column) -> Column:
+    """What a file makes of its directory and of the one above: an array of `target, choice, step, dir`.
+
+    `dir` is null where the target stands for itself.
+    """
+    name, ok = F.substring_index(dir_, "/", -1), file.isin(WEIGHT_FILES)
+    step = F.coalesce(F.substring_index(name, "-", -1).try_cast("long"), F.lit(-1))
+    above = F.when(F.contains(dir_, F.lit("/")), F.left(dir_, F.length(dir_) - F.length(name) - 1)).otherwise(dir_)
+
+    def option(allowed: Column, target: Column, choice: int, step: Column, below: Column) -> Column:
+        fields = target.alias("target"), F.lit(choice).alias("choice"), step.alias("step"), below.alias("dir")
+        return F.when(allowed, F.struct(*fields))
+
+    zero, itself = F.lit(0).cast("long"), F.lit(None).cast("string")
+    return F.array(
+        option(ok, dir_, 0, zero, itself),
+        option(ok & name.startswith("checkpoint-"), above, 1, step, dir_),
+        option(file == STATE_FILE, dir_, 2, zero, itself),
     )
 
 
-def valid_checkpoints(files: DataFrame) -> DataFrame:
-    return directories(files).where("is_checkpoint").select("dir")
+def _best(options: DataFrame) -> DataFrame:
+    """`target, checkpoint`: each target's first choice, then its highest step, then its last directory.
+
+    The options are shuffled by target as they are and sorted once, which spills: few targets repeat inside a scanning task.
+    """
+    best = F.max(F.struct((-F.col("choice")).alias("choice"), "step", "dir"))
+    found = options.repartition("target").groupBy("target").agg(best.alias("_best"))
+    return found.select("target", F.coalesce("_best.dir", "target").alias("checkpoint"))
 
 
 def locate_checkpoints(files: DataFrame) -> DataFrame:
-    """`target, checkpoint` for every directory that resolves to one.
+    """`target, checkpoint` for every directory that resolves to one; files may be listed repeatedly.
 
     The directory itself when it holds weights, else its `checkpoint-N` with
     the highest N, else itself when it holds the trainer state.
     """
-    dirs = directories(files)
-    name, ok = base_name(F.col("dir")), F.col("is_checkpoint")
-    step = F.coalesce(F.element_at(F.split(name, "-"), -1).try_cast("long"), F.lit(-1))
-
-    def option(allowed: Column, target: Column, choice: int, step: Column) -> Column:
-        return F.when(allowed, F.struct(target.alias("target"), F.lit(choice).alias("choice"), step.alias("step")))
-
-    zero = F.lit(0).cast("long")
-    options = F.array_compact(
-        F.array(
-            option(ok, F.col("dir"), 0, zero),
-            option(ok & name.startswith("checkpoint-"), parent_path(F.col("dir")), 1, step),
-            option(F.col("has_state"), F.col("dir"), 2, zero),
-        )
-    )
-    best = F.max_by("dir", F.struct(-F.col("choice"), "step", "dir"))
-    listed = dirs.select("dir", F.inline(options))
-    return listed.groupBy("target").agg(best.alias("checkpoint"))
+    telling = files.where(F.col("file").isin(*WEIGHT_FILES, STATE_FILE))
+    return _best(telling.select(F.inline(F.array_compact(_options(F.col("dir"), F.col("file"))))))
 
 
 def latest_adapter(adapters: DataFrame, by: list[str] | None = None) -> DataFrame:

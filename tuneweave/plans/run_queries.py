@@ -120,13 +120,13 @@ def clean_paths(spark, folder):
 
 
 def artifacts(spark, folder) -> DataFrame:
-    """`dir, file`: checkpoint files of runs, one run per order."""
+    """`dir, file`: checkpoint files of runs, one run per order; a file may be listed repeatedly."""
     number, flag = F.col("l_linenumber"), F.col("l_returnflag")
     state = text(ROOT, "/run-", F.col("l_orderkey"), "/trainer_state")
     step = F.when(number == 6, "x").otherwise((number * 10).cast("string"))
     file = F.when(flag == "A", "adapter_model.safetensors").when(flag == "N", "optimizer.pt").otherwise("trainer_state.json")
     folder_ = F.when(number == 7, state).otherwise(text(state, "/checkpoint-", step))
-    return table(spark, folder, "lineitem").select(folder_.alias("dir"), file.alias("file")).distinct()
+    return table(spark, folder, "lineitem").select(folder_.alias("dir"), file.alias("file"))
 
 
 def valid(spark, folder):
