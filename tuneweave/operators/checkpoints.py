@@ -84,9 +84,12 @@ def resolve_resume(requests: DataFrame, files: DataFrame, cwd: str = "/app") ->
     # The outer form keeps the optimizer from repeating the path expression in a filter of its own.
     candidates = stored(requests.select("request_id", F.posexplode_outer(tried).alias("rank", "target")), "candidates")
     # A file stands for itself, a directory for the checkpoint it resolves to.
-    plain = F.concat_ws("/", "dir", "file")
-    targets = files.select(plain.alias("target"), plain.alias("checkpoint")).unionByName(locate_checkpoints(files))
-    found = candidates.join(targets, "target").groupBy("request_id").agg(F.min_by("checkpoint", "rank").alias("checkpoint"))
+    path, zero, itself = F.concat_ws("/", "dir", "file"), F.lit(0).cast("long"), F.lit(None).cast("string")
+    plain = F.struct(path.alias("target"), F.lit(-1).alias("choice"), zero.alias("step"), itself.alias("dir"))
+    options = F.concat(F.array(plain), F.array_compact(_options(F.col("dir"), F.col("file"))))
+    targets = _best(files.select(F.inline(options)))
+    found = candidates.join(targets, "target").select("request_id", "rank", "checkpoint").repartition("request_id")
+    found = found.groupBy("request_id").agg(F.min_by("checkpoint", "rank").alias("checkpoint"))
     status = (
         F.when(F.coalesce(F.col("requested"), F.lit("")).isin("", "null"), "not_requested")
         .when(F.col("checkpoint").isNull(), "not_found")
