@@ -334,10 +334,11 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def open_pairs(groups: list[list[tuple]], percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of members that may link, and the labels; members are (fp, label, n, map, homes, ...), of one group or of two.
+def open_pairs(groups: list[list[tuple]], percent: int, homes: list | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of members that may link, and the labels; members are (fp, label, n, map, ...), of one group or of two.
 
-    Homes are the groups in which a class met all others at home there, round by round: pairs that share one are settled.
+    Homes are, for each member, the groups in which its class met all others at home there, round by round: pairs that
+    share one are settled.
     """
     members = [m for g in groups for m in g]
     number: dict[bytes, int] = {}
@@ -349,9 +350,9 @@ def open_pairs(groups: list[list[tuple]], percent: int) -> tuple[np.ndarray, np.
         at += len(g)
     i, j = walk(trees[0], trees[-1], len(groups) == 1, percent)
     j = j + (len(groups[0]) if len(groups) > 1 else 0)
-    for homes in zip(*(m[4] or () for m in members)):
+    for met in zip(*(h or () for h in homes or ())):
         seen: dict[bytes, int] = {}
-        home = np.array([seen.setdefault(h, len(seen)) for h in homes], dtype=np.int64)
+        home = np.array([seen.setdefault(h, len(seen)) for h in met], dtype=np.int64)
         apart = home[i] != home[j]
         i, j = i[apart], j[apart]
     return i, j, labels
@@ -363,7 +364,7 @@ def links_within(groups: list[list[tuple]], percent: int) -> Iterator[tuple[byte
     Members are (fp, label, n, map, homes, hashes), sorted by size.
     """
     members = [m for g in groups for m in g]
-    i, j, labels = open_pairs(groups, percent)
+    i, j, labels = open_pairs(groups, percent, [m[4] for m in members])
     order = np.lexsort((j, i))
     i, j = i[order], j[order]
     starts = np.flatnonzero(np.r_[True, i[1:] != i[:-1]]).tolist() if len(i) else []
@@ -414,7 +415,7 @@ def sift(members: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
             fps = [m[0] for g in groups for m in g]
             if len(fps) < 2:
                 continue
-            i, j, _ = open_pairs(groups, percent)
+            i, j, _ = open_pairs(groups, percent, [m[4] for g in groups for m in g])
             if not len(i):
                 continue
             left = np.unique(np.r_[i, j]).tolist()
