@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tuneweave.llm import collocations, lexical_search, token_files
+from tuneweave.llm import collocations, lexical_search, token_files, vectors
 from tuneweave.llm.queries import QUERIES, vocabulary
 from tuneweave.llm.vectors import Words, space_chunks, steps, to_spaces
 
@@ -61,6 +61,65 @@ def test_token_files_equal_the_library(spark):
     assert empty.collect() == [] and empty.columns == ["doc_id", "start", "n_tokens", "ids"]
 
 
+def test_many_chunks_are_one_text_of_the_library():
+    from tokenizers import Tokenizer
+
+    class Counted:
+        given = 0
+
+        def __getattr__(self, name):
+            return getattr(own, name)
+
+        def encode_batch_fast(self, texts, **options):
+            self.given += len(texts)
+            return own.encode_batch_fast(texts, **options)
+
+    own, counted = Tokenizer.from_file(vocabulary("word_bpe_49k.json")), Counted()
+    chunks = [f"w{i}x'{i % 7}s".encode() for i in range(1000)]
+    odd = ["a<|startoftext|>", "<|startoftext|>", "<|startoftext|", "<|startof", "<", "é́", "\x00", "<|endoftext|>b", "'", "s"]
+    mark = token_files.mark_of(counted)
+    assert mark == ("<|startoftext|>", 49406)
+    encode = token_files.joint_encoder(counted, mark)
+    assert encode([]) == [] and encode(chunks) == [own.encode(c.decode(), add_special_tokens=False).ids for c in chunks]
+    assert counted.given < 50
+    mixed = [*chunks[:100], *(t.encode() for t in odd), *chunks[100:]]
+    assert encode(mixed) == [own.encode(c.decode(), add_special_tokens=False).ids for c in mixed]
+    assert token_files.joint_encoder(own, None)(mixed) == encode(mixed)
+
+
+def test_only_marks_that_nothing_can_swallow():
+    from tokenizers import AddedToken, Tokenizer, models
+
+    def found(*tokens):
+        own = Tokenizer(models.BPE())
+        own.add_special_tokens([AddedToken(t, normalized=False) if isinstance(t, str) else t for t in tokens])
+        return token_files.mark_of(own)
+
+    assert found() is None and found("<a>", "<b>")[0] == "<a>"
+    assert found("<a>", "<a>x")[0] == "<a>x" and found("<a>", "x<")[0] == "x<"
+    assert found("aba") is None
+    assert found(AddedToken("<a>", normalized=False, lstrip=True), AddedToken("<b>", normalized=True)) is None
+
+
+def test_coder_keeps_what_several_steps_ask_for(monkeypatch):
+    """A full memory keeps the chunks in use; before, all were forgotten and encoded again."""
+    monkeypatch.setattr(vectors, "CACHE", 20_000)
+    encoded = Counter()
+
+    def encode(chunks):
+        encoded.update(chunks)
+        return [list(c) for c in chunks]
+
+    coder = vectors.Coder(encode, 7)
+    common = [b"", *(b"c%d" % i for i in range(20))]
+    for step in range(30):
+        chunks = [*common, *(b"%d-%d" % (step, i) for i in range(40)), *common]
+        ids, lengths = coder.ids(pa.array(chunks, pa.large_binary()), np.arange(len(chunks)), len(chunks))
+        assert ids.tolist() == [i for c in chunks for i in [*c, 7]] and lengths.tolist() == [len(c) + 1 for c in chunks]
+        assert coder.memory < 20_000 + 61 * 200 and coder.used <= len(coder.flat)
+    assert all(encoded[c] == 1 for c in common) and len(coder.known) < 300
+
+
 def test_token_files_of_large_ids_in_many_blocks(spark, monkeypatch):
     """An encoder of the user's own with ids of every width, in small blocks and files."""
     monkeypatch.setattr(token_files, "BLOCK", 7)

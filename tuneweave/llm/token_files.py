@@ -41,6 +41,8 @@ BLOCK = 1 << 16
 FILE = 1 << 26
 # No file gets fewer ids than this to keep all cores busy.
 LEAST = 1 << 20
+# Chunks that the library gets as one text.
+JOINT = 64
 TOKENISED = "doc_id long, part int, row long, n long, wide boolean, ids binary, counts binary"
 BLOCKS = "file int, block int, first long, n_ids long, n_docs long, no_id long, doc_ids binary, lengths binary, control binary, data binary"
 READ = "doc_id long, start long, n_tokens long, ids binary"
@@ -65,18 +67,56 @@ def drops_white_space(path: str) -> bool:
     return [normal, cuts[0]] == _WORDS_ONLY and plain and not spec.get("post_processor")
 
 
+def mark_of(own) -> tuple[str, int] | None:
+    """An added token of a tokenizer, with its id, that the library finds wherever it is put between texts."""
+    added = own.get_added_tokens_decoder()
+    names = [t.content for t in added.values()]
+    for number, t in added.items():
+        apart = not any(t.content[0] in n[1:] or (n != t.content and n.startswith(t.content)) for n in names)
+        if apart and not (t.single_word or t.lstrip or t.rstrip or t.normalized):
+            return t.content, number
+    return None
+
+
+def joint_encoder(own, mark: tuple[str, int] | None) -> Callable[[list[bytes]], list[list[int]]]:
+    """Function from chunks to the ids of each; with `mark`, the library gets many chunks as one text, each ended by that added token.
+
+    The library cuts a text at its added tokens first and encodes each part by itself, and one more
+    text costs it more than a short chunk. Rows with a chunk that holds the mark are encoded chunk by chunk.
+    """
+
+    def singly(texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in own.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(chunks: list[bytes]) -> list[list[int]]:
+        texts = [c.decode("utf-8") for c in chunks]
+        if mark is None:
+            return singly(texts)
+        name, number = mark
+        rows = [texts[i : i + JOINT] for i in range(0, len(texts), JOINT)]
+        found: list[list[int]] = []
+        for row, ids in zip(rows, singly([name.join([*row, ""]) for row in rows])):
+            if ids.count(number) != len(row):
+                found += singly(row)
+                continue
+            at = 0
+            for _ in row:
+                to = ids.index(number, at)
+                found.append(ids[at:to])
+                at = to + 1
+        return found
+
+    return encode
+
+
 def load_tokenizer(path: str, end: int = END) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
     """Function from texts to their ids in a row, each text's end id included, and the number of each; one per worker process."""
     if (path, end) not in _coders:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        own = Tokenizer.from_file(path)
-
-        def encode(chunks: list[bytes]) -> list[list[int]]:
-            return [e.ids for e in own.encode_batch_fast([c.decode("utf-8") for c in chunks], add_special_tokens=False)]
-
-        coder, words = Coder(encode, end), drops_white_space(path)
+        own, words = Tokenizer.from_file(path), drops_white_space(path)
+        coder = Coder(joint_encoder(own, mark_of(own) if words else None), end)
         table = to_spaces(b" \t\n\r")
         added = [t.content.encode().lower() for t in own.get_added_tokens_decoder().values()]
 

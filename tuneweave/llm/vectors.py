@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -152,46 +153,65 @@ def space_chunks(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return binary(data, np.append(starts, len(data))), np.searchsorted(ends, starts, "right") - 1
 
 
+def _room(array: np.ndarray, size: int) -> np.ndarray:
+    """`array`, made at least twice as long if it holds fewer than `size` values."""
+    return array if size <= len(array) else np.concatenate([array, np.zeros(max(size - len(array), len(array)), array.dtype)])
+
+
 class Coder:
     """Ids of texts as the chain of the ids of their chunks, each distinct chunk encoded once.
 
     `encode` gives the ids of a list of chunks; `end` is put after each text. What is
-    remembered is bounded in bytes and forgotten as a whole.
+    remembered is bounded in bytes; beyond that only chunks asked for by several steps are kept.
     """
 
     def __init__(self, encode: Callable[[list[bytes]], list], end: int | None = None, kind=np.uint32):
         self.encode, self.end, self.kind = encode, end, kind
-        self.forget()
-
-    def forget(self) -> None:
+        # Slot of each chunk, in ascending order; by slot: where its ids start, how many they are, steps that asked for it.
         self.known: dict[bytes, int] = {}
-        self.flat = np.empty(1 << 16, self.kind)
-        self.starts = np.zeros(1 << 12, np.int64)
-        self.sizes = np.zeros(1 << 12, np.int64)
+        self.flat = np.empty(0, kind)
+        self.starts, self.sizes, self.hits = (np.zeros(0, np.int64) for _ in range(3))
         self.used, self.memory = 0, 0
 
-    def learn(self, chunks: list[bytes]) -> None:
-        for chunk, ids in zip(chunks, self.encode(chunks)):
-            slot, n = len(self.known), len(ids)
-            if slot >= len(self.starts):
-                self.starts, self.sizes = (np.concatenate([a, np.zeros_like(a)]) for a in (self.starts, self.sizes))
-            while self.used + n > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
-            self.flat[self.used : self.used + n] = ids
-            self.starts[slot], self.sizes[slot] = self.used, n
-            self.known[chunk] = slot
-            self.used += n
-            self.memory += len(chunk) + n * self.flat.itemsize + 150
+    def forget(self) -> None:
+        """Forgets the chunks that one step alone asked for, and of the others the least used beyond half of CACHE."""
+        listed = list(self.known)
+        n = len(listed)
+        bytes_of = np.fromiter(map(len, listed), np.int64, n) + self.sizes[:n] * self.flat.itemsize + 150
+        kept = np.argsort(-self.hits[:n], kind="stable")[: np.count_nonzero(self.hits[:n] > 1)]
+        kept = kept[np.cumsum(bytes_of[kept]) <= CACHE // 2]
+        sizes = self.sizes[kept]
+        self.flat = self.flat[ranges(self.starts[kept], sizes)]
+        self.starts, self.sizes, self.hits = np.cumsum(sizes) - sizes, sizes, np.zeros(len(kept), np.int64)
+        self.known = {listed[i]: slot for slot, i in enumerate(kept.tolist())}
+        self.used, self.memory = len(self.flat), int(bytes_of[kept].sum())
+
+    def learn(self, chunks: list[bytes]) -> np.ndarray:
+        """Slots of chunks that are not known yet, each named once."""
+        found = self.encode(chunks)
+        first, n = len(self.known), len(chunks)
+        sizes = np.fromiter(map(len, found), np.int64, n)
+        ends = self.used + np.cumsum(sizes)
+        used = int(ends[-1])
+        self.flat = _room(self.flat, used)
+        self.starts, self.sizes, self.hits = (_room(a, first + n) for a in (self.starts, self.sizes, self.hits))
+        self.flat[self.used : used] = np.fromiter(chain.from_iterable(found), self.kind, used - self.used)
+        self.starts[first : first + n], self.sizes[first : first + n] = ends - sizes, sizes
+        self.known.update(zip(chunks, range(first, first + n)))
+        self.memory += sum(map(len, chunks)) + (used - self.used) * self.flat.itemsize + 150 * n
+        self.used = used
+        return np.arange(first, first + n)
 
     def slots(self, chunks: pa.Array) -> np.ndarray:
         if self.memory > CACHE:
             self.forget()
         coded = chunks.dictionary_encode()
-        listed = coded.dictionary.to_pylist()
-        fresh = [c for c in listed if c not in self.known]
-        if fresh:
-            self.learn(fresh)
-        table = np.fromiter(map(self.known.__getitem__, listed), np.int64, len(listed))
+        listed = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        table = np.fromiter(map(self.known.get, listed, repeat(-1)), np.int64, len(listed))
+        fresh = np.flatnonzero(table < 0)
+        if len(fresh):
+            table[fresh] = self.learn([listed[i] for i in fresh.tolist()])
+        self.hits[table] += 1
         return table[coded.indices.to_numpy(zero_copy_only=False)]
 
     def ids(self, chunks: pa.Array, text: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
