@@ -175,7 +175,7 @@ class Coder:
 
     def forget(self) -> None:
         """Forgets the chunks that one step alone asked for, and of the others the least used beyond half of CACHE."""
-        listed = list(self.known)
+        listed, self.known = list(self.known), {}
         n = len(listed)
         bytes_of = np.fromiter(map(len, listed), np.int64, n) + self.sizes[:n] * self.flat.itemsize + 150
         kept = np.argsort(-self.hits[:n], kind="stable")[: np.count_nonzero(self.hits[:n] > 1)]
